@@ -1,0 +1,67 @@
+"""Committed versions of a folder that is replaced as a whole.
+
+Parquet has no ``MERGE INTO``. Each version is written to its own folder and
+becomes current only when a row for it is appended to the commit log, so a job
+that dies half-way leaves the former version in place, and a replayed
+micro-batch is recognised by its ``(writer, epoch)``. One writer per path.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+_COMMIT = "version bigint, writer string, epoch bigint"
+
+
+@dataclass(frozen=True)
+class Version:
+    path: str
+    number: int
+    writer: str
+    epoch: int
+
+    @property
+    def folder(self) -> str:
+        return version_folder(self.path, self.number)
+
+    def covers(self, writer: str, epoch: int) -> bool:
+        return self.writer == writer and self.epoch >= epoch
+
+
+def version_folder(path: str, number: int) -> str:
+    return f"{path}/data/v{number:012d}"
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The newest committed version; reads the small commit log only."""
+    try:
+        log = spark.read.schema(_COMMIT).json(f"{path}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    row = log.agg(F.max_by(F.struct("version", "writer", "epoch"), "version").alias("c")).first()
+    if row is None or row.c is None:
+        return None
+    return Version(path, row.c.version, row.c.writer, row.c.epoch)
+
+
+def commit_version(
+    spark: SparkSession, path: str, write: Callable[[str], None], writer: str, epoch: int
+) -> Version:
+    """Write the next version with ``write(folder)`` and make it current."""
+    current = current_version(spark, path)
+    number = 0 if current is None else current.number + 1
+    write(version_folder(path, number))
+    row = spark.range(1).select(
+        F.lit(number).cast("bigint").alias("version"),
+        F.lit(writer).alias("writer"),
+        F.lit(epoch).cast("bigint").alias("epoch"),
+    )
+    row.write.mode("append").json(f"{path}/commits")
+    return Version(path, number, writer, epoch)
