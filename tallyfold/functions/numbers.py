@@ -56,8 +56,12 @@ def gauge_text(value: Column) -> Column:
     the JVM may pick a neighbouring last digit; it still reads back the same.
     """
     size, text = F.abs(value), value.cast("string")
-    # Fewest of 15, 16 or 17 digits that suffice: older JVMs print surplus ones.
-    tries = [F.format_string(f"%.{digits - 1}e", value) for digits in (15, 16, 17)]
+    # Fewest of 15, 16 or 17 digits that suffice: older JVMs print surplus ones, and
+    # round from those, so 16 digits are tried rounded and cut off.
+    fifteen, sixteen, seventeen = (
+        F.format_string(f"%.{digits - 1}e", value) for digits in (15, 16, 17)
+    )
+    tries = [fifteen, sixteen, F.regexp_replace(seventeen, "[0-9]e", "e"), seventeen]
     shortest = F.coalesce(*[F.when(t.try_cast("double") == value, t) for t in tries])
     is_short = (size >= 1e-3) & (size < 1e6) & (F.length(text) <= 16)
     plain = shortest.cast("decimal(38,21)").cast("string")

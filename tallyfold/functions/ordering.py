@@ -26,18 +26,25 @@ def _is_ntz(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.TimestampNTZType)
 
 
+def _zoneless_seconds(name: str) -> Column:
+    """Seconds since the epoch with microseconds, independent of the session zone.
+
+    Subtracting two zone-less times stays zone-less; ``timestampdiff`` would not.
+    """
+    return F.expr(f"cast(cast(`{name}` - {_EPOCH_NTZ} as interval second) as decimal(20,6))")
+
+
 def unix_seconds(df: DataFrame, name: str) -> Column:
     """Whole seconds since the epoch; a zone-less time is taken as UTC."""
     if _is_ntz(df, name):
-        micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{name}`)")
-        return F.floor(micros / 1_000_000).cast("bigint")
+        return F.floor(_zoneless_seconds(name)).cast("bigint")
     return F.unix_seconds(F.col(name))
 
 
 def as_instant(df: DataFrame, name: str) -> Column:
-    """The column as TIMESTAMP, which watermarks need, whatever the session zone."""
+    """The column as TIMESTAMP, which watermarks need; a zone-less time is taken as UTC."""
     if _is_ntz(df, name):
-        return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{name}`)"))
+        return F.timestamp_micros((_zoneless_seconds(name) * 1_000_000).cast("bigint"))
     return F.col(name)
 
 

@@ -34,7 +34,7 @@ def chunk_updates(
     numbered = sliced.withColumn("_row", F.row_number().over(within))
     return numbered.join(offsets, ["client", "_slice"]).select(
         *updates.columns,
-        F.floor((F.col("_before") + F.col("_row") - 1) / size).alias("chunk"),
+        F.expr(f"(_before + _row - 1) div {size}").alias("chunk"),
     )
 
 

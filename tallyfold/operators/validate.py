@@ -33,10 +33,9 @@ def quarantine(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_judged(judged: DataFrame, path: str) -> None:
-    """Both sides of the split in one pass, as folders ``accepted=true|false``."""
-    judged.withColumn("accepted", F.col("update_class") == OK).write.mode("overwrite").partitionBy(
-        "accepted"
-    ).parquet(path)
+    """Both sides of the split in one pass, as folders ``side=accepted|refused``."""
+    side = F.when(F.col("update_class") == OK, "accepted").otherwise("refused")
+    judged.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
 
 
 def reject_bad_batches(judged: DataFrame) -> DataFrame:

@@ -55,6 +55,15 @@ def _filled(item: Column) -> Column:
     )
 
 
+def _once(parsed: DataFrame, columns: list[str], *outputs: Column) -> DataFrame:
+    """Add ``outputs``, each worked out once per row.
+
+    Filters that callers put on the result would otherwise be pushed below the
+    projection and parse every body again; they do not pass a generator.
+    """
+    return parsed.select(*columns, F.inline(F.array(F.struct(*outputs))))
+
+
 def _is_infinite(item: Column) -> Column:
     """JSON has no infinity, so an infinite value was a number out of range."""
     return F.coalesce(F.abs(item["value"]) == float("inf"), F.lit(False))
@@ -80,14 +89,15 @@ def parse_updates(requests: DataFrame, body: str = "body") -> DataFrame:
     judged = parsed.withColumn("malformed", malformed).withColumn(
         "_item", F.when(~F.col("malformed"), item)
     )
-    return judged.select(
-        *requests.columns,
+    return _once(
+        judged,
+        requests.columns,
         F.col("_item.id").alias("name"),
         F.col("_item.type").alias("metric_type"),
         F.col("_item.delta").alias("delta"),
         F.col("_item.value").alias("value"),
         F.col("_item.hash").alias("hash"),
-        "malformed",
+        F.col("malformed"),
     )
 
 
@@ -108,15 +118,20 @@ def parse_batches(requests: DataFrame, body: str = "body") -> DataFrame:
     )
     items = F.coalesce(F.transform(found, _filled), F.array().cast(f"array<{_TYPED}>"))
     judged = parsed.withColumn("malformed", malformed)
-    return judged.select(
-        *requests.columns, F.when(~F.col("malformed"), items).alias("items"), "malformed"
+    return _once(
+        judged,
+        requests.columns,
+        F.when(~F.col("malformed"), items).alias("items"),
+        F.col("malformed"),
     )
 
 
 def explode_batches(batches: DataFrame, items: str = "items") -> DataFrame:
     """Update rows of ``batches(batch_id, ts, client, items)`` in array order."""
+    # Over a bare column Spark would add a filter on its size and push that down.
+    present = F.coalesce(F.col(items), F.array().cast(batches.schema[items].dataType))
     rows = batches.select(
-        "batch_id", "ts", "client", F.posexplode(items).alias("pos", "_item")
+        "batch_id", "ts", "client", F.posexplode(present).alias("pos", "_item")
     )
     pos = F.col("pos").cast("bigint")
     return rows.select(

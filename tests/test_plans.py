@@ -1,0 +1,87 @@
+"""The plans that keep the operators fast on large data."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.operators import batches, fold, lookup, validate
+from tallyfold.plans.catalog import QUERIES
+from tallyfold.sources.files import REQUEST
+from tallyfold.sources.updates import explode_batches, parse_batches, parse_updates
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def requests(spark, tmp_path):
+    spark.createDataFrame([], REQUEST).write.parquet(str(tmp_path / "r"))
+    return spark.read.schema(REQUEST).parquet(str(tmp_path / "r"))
+
+
+@pytest.mark.parametrize("name", ["metrics_state", "merge_state", "latest_per_name", "counter_sum", "report_window"])
+def test_folds_hash_before_and_after_one_shuffle(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    # Two folded sides are already partitioned alike, so merging them adds no shuffle.
+    assert text.count("Exchange hashpartitioning") == (2 if name == "merge_state" else 1)
+    assert "partial_" in text
+
+
+def test_newest_rows_are_limited_before_the_shuffle(spark):
+    below = plan(QUERIES["newest_rows"](spark, SF)).split("Exchange")[1]
+    assert "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_scans_read_needed_columns(spark):
+    schema = plan(QUERIES["gauge_last"](spark, SF)).split("ReadSchema:")[1]
+    assert "user_id" not in schema and "ts:" not in schema
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan(QUERIES["point_lookup"](spark, SF))
+
+
+def test_bodies_are_parsed_once(requests):
+    judged = validate.judge_batches(parse_batches(requests), key="k")
+    singles = validate.classify(parse_updates(requests).withColumn("form", F.lit("json")))
+    for frame in (
+        fold.fold_updates(explode_batches(judged)),
+        judged.where("applied").select("items"),
+        singles.where("update_class = 'ok' and not malformed"),
+    ):
+        # The second parse sits in a branch taken only for suspicious bodies.
+        assert plan(frame).count("from_json") == 2
+
+
+def test_judging_bodies_needs_no_shuffle(requests):
+    assert "Exchange" not in plan(validate.judge_batches(parse_batches(requests)))
+
+
+def test_no_pairs_within_groups(spark):
+    for name, query in QUERIES.items():
+        if not name.startswith(("stream", "audit_f", "state_u", "stored", "ingested", "snapshot_f", "gzip")):
+            text = plan(query(spark, SF))
+            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+            assert "SinglePartition" not in text or name in ("snapshot_maps",), name
+
+
+def test_chunking_shares_its_partitioning(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = batches.chunk_updates(fold.newest_rows(QUERIES["accepted_rows"](spark, SF), "seq"))
+        text = plan(frame)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows go through one exchange by (client, slice); the join adds none above the window.
+    rows_side = text.split("SortMergeJoin")[1].split("Sort [client")[0]
+    assert rows_side.strip().split("\n")[1].lstrip(" :+-").startswith("Window")
+
+
+def test_lookup_broadcasts_only_the_bounded_list(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["bulk_lookup"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for part in text.split("BroadcastExchange")[1:]:
+        assert f"TakeOrderedAndProject(limit={lookup.HOT_KEYS}" in part.split("Exchange hashpartitioning")[0]

@@ -1,0 +1,163 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.operators import validate as v
+from tallyfold.sources.updates import explode_batches, parse_batches
+from tests.helpers import T0, one_by_one, state, updates
+
+
+def classes(frame, store="memory"):
+    return [r.update_class for r in v.classify(frame, store).orderBy("seq").collect()]
+
+
+def test_classes(spark):
+    rows = [
+        ("a", "counter", 1, None), ("a", "counter", None, 1.0), ("a", "gauge", None, 1.0),
+        ("a", "gauge", 1, None), ("a", "histogram", 1, 1.0), ("a", None, 1, 1.0),
+        ("", "counter", 0, None), ("a", "Counter", 1, None),
+    ]
+    assert classes(one_by_one(spark, rows)) == [
+        "ok", "null_delta", "ok", "null_value", "unknown_type", "unknown_type", "ok", "unknown_type",
+    ]
+    assert classes(one_by_one(spark, rows, form="path")) == [
+        "ok", "bad_delta", "ok", "bad_value", "unknown_type", "unknown_type", "missing_id", "unknown_type",
+    ]
+
+
+def test_table_limits(spark):
+    rows = [
+        ("n" * 100, "gauge", None, 1.0), ("n" * 101, "gauge", None, 1.0),
+        ("a", "counter", 2**31 - 1, None), ("a", "counter", 2**31, None),
+        ("a", "counter", -(2**31), None), ("a", "counter", -(2**31) - 1, None),
+    ]
+    frame = one_by_one(spark, rows)
+    assert classes(frame) == ["ok"] * 6
+    assert classes(frame, v.TABLE) == ["ok", "name_too_long", "ok", "delta_range", "ok", "delta_range"]
+
+
+BATCHES = [
+    # batch 0: clean
+    (0, 0, "a", "counter", 1, None), (0, 1, "b", "gauge", None, 1.0),
+    # batch 1: bad in the middle
+    (1, 0, "a", "counter", 10, None), (1, 1, "x", "counter", None, None), (1, 2, "b", "gauge", None, 2.0),
+    # batch 2: unknown type only skipped
+    (2, 0, "h", "histogram", 1, None), (2, 1, "a", "counter", 100, None),
+    # batch 3: bad first
+    (3, 0, "b", "gauge", None, None), (3, 1, "a", "counter", 1000, None),
+    # batch 4: unknown before and after a bad row
+    (4, 0, "h", "histogram", None, None), (4, 1, "b", "gauge", None, 4.0), (4, 2, "b", "gauge", None, None),
+]
+
+
+def kept(frame):
+    return sorted((r.batch_id, r.pos) for r in frame.collect())
+
+
+def test_atomic_and_prefix(spark):
+    frame = updates(spark, BATCHES)
+    assert kept(v.accepted_updates(frame)) == [(0, 0), (0, 1), (2, 1)]
+    assert kept(v.accepted_updates(frame, v.APPLY_PREFIX)) == [(0, 0), (0, 1), (1, 0), (2, 1), (4, 1)]
+    with pytest.raises(ValueError):
+        v.accepted_updates(frame, "other")
+
+
+def test_quarantine_loses_nothing(spark, tmp_path):
+    judged = v.classify(updates(spark, BATCHES))
+    good, bad = v.quarantine(judged)
+    assert good.count() + bad.count() == len(BATCHES)
+    v.write_judged(judged, str(tmp_path / "q"))
+    stored = spark.read.parquet(str(tmp_path / "q"))
+    assert stored.where("side = 'accepted'").count() == good.count()
+    assert {r.update_class for r in stored.where("side = 'refused'").collect()} == {
+        "null_delta", "null_value", "unknown_type"
+    }
+
+
+def bodies(spark, rows):
+    grouped = {}
+    for b, _, name, kind, delta, value in rows:
+        record = {"id": name, "type": kind, "delta": delta, "value": value}
+        grouped.setdefault(b, []).append({k: x for k, x in record.items() if x is not None})
+    return spark.createDataFrame(
+        [(b, T0, "c", "", json.dumps(items)) for b, items in grouped.items()],
+        "batch_id bigint, ts timestamp_ntz, client string, digest string, body string",
+    )
+
+
+@pytest.mark.parametrize("on_invalid", [v.REJECT_BATCH, v.APPLY_PREFIX])
+def test_bodies_are_judged_like_rows(spark, on_invalid):
+    judged = v.judge_batches(parse_batches(bodies(spark, BATCHES)), on_invalid)
+    by_batch = {r.batch_id: r for r in judged.collect()}
+    assert {b: r.http_status for b, r in by_batch.items()} == {0: 200, 1: 500, 2: 200, 3: 500, 4: 500}
+    assert {b: r.audit_ids for b, r in by_batch.items()} == {0: ["a", "b"], 1: None, 2: ["h", "a"], 3: None, 4: None}
+    from_bodies = sorted((r.batch_id, r.name, r.delta, r.value) for r in explode_batches(judged).collect())
+    from_rows = sorted(
+        (r.batch_id, r.name, r.delta, r.value)
+        for r in v.accepted_updates(updates(spark, BATCHES), on_invalid).collect()
+    )
+    assert sorted(map(str, from_bodies)) == sorted(map(str, from_rows))
+    row_outcomes = v.batch_outcomes(v.classify(updates(spark, BATCHES)), on_invalid)
+    assert {(r.batch_id, r.http_status, r.applied) for r in row_outcomes.collect()} == {
+        (b, r.http_status, r.applied) for b, r in by_batch.items()
+    }
+
+
+def test_digest_and_malformed_come_first(spark):
+    import hashlib
+
+    body, broken = '[{"id":"a","type":"counter","delta":1}]', "[x"
+
+    def sign(text):
+        return hashlib.sha256((text + "k").encode()).hexdigest()
+
+    rows = spark.createDataFrame(
+        [(0, T0, "c", sign(body), body), (1, T0, "c", "00", body), (2, T0, "c", None, broken), (3, T0, "c", sign(broken), broken)],
+        "batch_id bigint, ts timestamp_ntz, client string, digest string, body string",
+    )
+    got = {r.batch_id: r for r in v.judge_batches(parse_batches(rows), key="k").collect()}
+    assert {b: r.http_status for b, r in got.items()} == {0: 200, 1: 400, 2: 400, 3: 422}
+    assert {b: r.applied for b, r in got.items()} == {0: True, 1: False, 2: False, 3: False}
+
+
+def test_single_outcomes(spark):
+    rows = [
+        ("a", "counter", 1, None), ("a", "gauge", None, 1.0), ("a", "counter", None, None),
+        ("a", "gauge", None, None), ("a", "x", None, None), ("n" * 101, "counter", 1, None),
+    ]
+
+    def outcome(form, store="memory"):
+        judged = v.single_outcomes(v.classify(one_by_one(spark, rows, form), store))
+        return [(r.http_status, r.applied) for r in judged.orderBy("seq").collect()]
+
+    # A JSON gauge is stored and still answered 500.
+    assert outcome("json") == [(200, True), (500, True), (500, False), (500, False), (500, False), (200, True)]
+    assert outcome("path") == [(200, True), (200, True), (400, False), (400, False), (400, False), (200, True)]
+    # The path form hides what the table refuses.
+    assert outcome("json", v.TABLE)[5] == (500, False)
+    assert outcome("path", v.TABLE)[5] == (200, False)
+
+
+def test_state_violations(spark):
+    rows = [
+        ("ok", "gauge", 1.0, None), ("ok", "counter", None, 1),
+        ("twice", "gauge", 1.0, None), ("twice", "gauge", 2.0, None),
+        ("n" * 101, "gauge", 1.0, None), ("odd", "histogram", 1.0, None),
+        ("wide", "counter", None, 2**31), ("both", "counter", 1.0, 1), ("none", "gauge", None, None),
+        (None, "gauge", 1.0, None), ("edge", "counter", None, -(2**31)),
+    ]
+    got = {(r.name, r.rule, r.rows) for r in v.state_violations(state(spark, rows)).collect()}
+    assert got == {
+        ("twice", "key_not_unique", 2), ("n" * 101, "name_too_long", 1), ("odd", "type_not_allowed", 1),
+        ("odd", "value_column_mismatch", 1), ("wide", "counter_out_of_int32", 1),
+        ("both", "value_column_mismatch", 1), ("none", "value_column_mismatch", 1), (None, "name_missing", 1),
+    }
+
+
+def test_too_long_batch_fails(spark):
+    from tallyfold.functions.ordering import seq_of
+
+    rows = spark.range(1).select(seq_of(F.lit(1), F.lit(1 << 20)).alias("s"))
+    with pytest.raises(Exception, match="a batch holds more than"):
+        rows.collect()
