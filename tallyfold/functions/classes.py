@@ -46,6 +46,23 @@ def update_class(
     return judged.otherwise(OK)
 
 
+def stops_batch(item: Column, store: str = MEMORY) -> Column:
+    """``fails_batch`` of one list element, without spelling out its class.
+
+    It runs inside ``transform`` and ``exists``, which are interpreted, so it is a
+    plain condition. The two must agree.
+    """
+    kind, delta = item["type"], item["delta"]
+    stops = ((kind == COUNTER) & delta.isNull()) | ((kind == GAUGE) & item["value"].isNull())
+    if store == TABLE:
+        stops = (
+            stops
+            | (is_known_type(kind) & (F.length(item["id"]) > MAX_NAME_LENGTH))
+            | ((kind == COUNTER) & ~delta.between(INT32_MIN, INT32_MAX))
+        )
+    return F.coalesce(stops, F.lit(False))
+
+
 def fails_batch(class_: Column) -> Column:
     """Whether an update of this class stops its batch; unknown types are only skipped."""
     return ~class_.isin(OK, UNKNOWN_TYPE)

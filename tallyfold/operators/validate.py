@@ -10,9 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.classes import MEMORY, OK, TABLE, fails_batch, is_known_type, update_class
+from tallyfold.functions.classes import (
+    MEMORY,
+    OK,
+    TABLE,
+    fails_batch,
+    is_known_type,
+    stops_batch,
+    update_class,
+)
 from tallyfold.functions.digest import digest_matches
 from tallyfold.schema import COUNTER, GAUGE, INT32_MAX, INT32_MIN, MAX_NAME_LENGTH
+from tallyfold.sources.updates import explode_batches
 
 REJECT_BATCH, APPLY_PREFIX = "reject_batch", "apply_prefix"
 
@@ -92,19 +101,15 @@ def judge_batches(
     """Verdict, outcome and surviving items of batches kept as one row per body.
 
     ``batches`` comes from ``parse_batches``. Adds ``http_status``, ``applied``,
-    ``audit_ids`` (NULL unless accepted) and replaces ``items`` by those that
-    change state. No shuffle: everything a verdict needs is in the row.
+    ``audit_ids`` (NULL unless accepted) and replaces ``items`` by those the store
+    goes through. No shuffle: everything a verdict needs is in the row.
     """
     if on_invalid not in (REJECT_BATCH, APPLY_PREFIX):
         raise ValueError(f"unknown on_invalid {on_invalid!r}")
 
-    def stops(item):
-        class_ = update_class(
-            item["id"], item["type"], item["delta"], item["value"], F.lit("batch"), store
-        )
-        return fails_batch(class_)
-
-    first_bad = F.array_position(F.transform("items", stops), True)
+    first_bad = F.array_position(
+        F.transform("items", lambda item: stops_batch(item, store)), True
+    )
     signed = digest_matches(F.col(body), key, F.col(digest)) if key else F.lit(True)
     judged = batches.withColumn("_first_bad", first_bad).withColumn("_signed", signed)
 
@@ -126,9 +131,17 @@ def judge_batches(
     return judged.select(
         *[c for c in batches.columns if c != "items"],
         status.alias("http_status"),
-        F.filter(survivors, lambda item: is_known_type(item["type"])).alias("items"),
-        F.when(~refused & clean, F.transform("items", lambda item: item["id"])).alias("audit_ids"),
-    ).withColumn("applied", F.size("items") > 0)
+        survivors.alias("items"),
+        F.when(
+            ~refused & clean,
+            F.transform("items", lambda item: F.coalesce(item["id"], F.lit(""))),
+        ).alias("audit_ids"),
+    ).withColumn("applied", F.exists("items", lambda item: is_known_type(item["type"])))
+
+
+def applied_updates(judged: DataFrame) -> DataFrame:
+    """Update rows of ``judge_batches`` that change state, in arrival order."""
+    return skip_unknown_types(explode_batches(judged))
 
 
 def single_outcomes(judged: DataFrame) -> DataFrame:
@@ -213,6 +226,7 @@ __all__ = [
     "REJECT_BATCH",
     "TABLE",
     "accepted_updates",
+    "applied_updates",
     "apply_prefix",
     "batch_outcomes",
     "classify",

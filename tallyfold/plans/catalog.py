@@ -285,7 +285,9 @@ def _verdicts(spark: SparkSession, sf_dir: str, on_invalid: str) -> DataFrame:
         "batch_id",
         "http_status",
         "applied",
-        F.size("items").cast("bigint").alias("applied_updates"),
+        F.size(F.filter("items", lambda item: is_known_type(item["type"])))
+        .cast("bigint")
+        .alias("applied_updates"),
         F.array_join("audit_ids", ",").alias("audit_ids"),
     )
 

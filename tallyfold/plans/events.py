@@ -30,25 +30,20 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_updates(events: DataFrame) -> DataFrame:
     """Update rows of the batch form."""
-    event = F.col("event_id")
-    batch, pos = F.expr("event_id div 10"), event % 10
-    is_counter = event % 2 == 0
-    metric_type = (
-        F.when(event % 17 == 0, "histogram").when(is_counter, "counter").otherwise("gauge")
-    )
-    delta = F.get_json_object("props", "$.k").cast("bigint")
-    return events.select(
-        seq_of(batch, pos).alias("seq"),
-        batch.alias("batch_id"),
-        pos.alias("pos"),
+    rows = events.selectExpr(
+        "event_id div 10 as batch_id",
+        "event_id % 10 as pos",
         "ts",
-        F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("client"),
-        F.lit("batch").alias("form"),
-        F.col("event_type").alias("name"),
-        metric_type.alias("metric_type"),
-        F.when(is_counter & (event % 46 != 0), delta).alias("delta"),
-        F.when(~is_counter & (event % 23 != 0), F.col("value")).alias("value"),
+        "concat('10.0.0.', cast(user_id as string)) as client",
+        "'batch' as form",
+        "event_type as name",
+        "case when event_id % 17 = 0 then 'histogram' "
+        "when event_id % 2 = 0 then 'counter' else 'gauge' end as metric_type",
+        "case when event_id % 2 = 0 and event_id % 46 <> 0 "
+        "then cast(get_json_object(props, '$.k') as bigint) end as delta",
+        "case when event_id % 2 = 1 and event_id % 23 <> 0 then value end as value",
     )
+    return rows.select(seq_of(F.col("batch_id"), F.col("pos")).alias("seq"), *rows.columns)
 
 
 def updates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +52,4 @@ def updates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def every(n: int, remainder: int = 0) -> Column:
     """Condition on the event behind an update row."""
-    return (F.col("batch_id") * 10 + F.col("pos")) % n == remainder
+    return F.expr(f"(batch_id * 10 + pos) % {n} = {remainder}")

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from tallyfold.functions.classes import MEMORY
 from tallyfold.operators.audit import audit_bodies
 from tallyfold.operators.fold import fold_updates
-from tallyfold.operators.validate import REJECT_BATCH, judge_batches
+from tallyfold.operators.validate import REJECT_BATCH, applied_updates, judge_batches
 from tallyfold.sinks.audit_log import append_audit
 from tallyfold.sinks.state_table import upsert_state
 from tallyfold.sinks.versions import Version
-from tallyfold.sources.updates import explode_batches, parse_batches
+from tallyfold.sources.updates import parse_batches
 
 
 def ingest_bodies(
@@ -35,6 +35,6 @@ def ingest_bodies(
     judged = judge_batches(parse_batches(requests), on_invalid, store, key)
     judged.drop("body", "digest", "malformed").write.mode("overwrite").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
-    version = upsert_state(fold_updates(explode_batches(staged)), state_path, writer, epoch)
+    version = upsert_state(fold_updates(applied_updates(staged)), state_path, writer, epoch)
     append_audit(audit_bodies(staged), audit_path)
     return version

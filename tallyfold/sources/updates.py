@@ -11,17 +11,16 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import parse_float64, parse_int64
 from tallyfold.functions.ordering import seq_of
+from tallyfold.schema import COUNTER, GAUGE
 
 _TYPED = "struct<id string, type string, delta bigint, value double, hash string>"
 _TAGGED = "struct<id variant, type variant, hash variant>"
+_FIELD_NAMES = ("name", "metric_type", "delta", "value", "hash")
 _PARSE_OPTIONS = {
     "columnNameOfCorruptRecord": "_bad",
     "allowNonNumericNumbers": "false",
     "allowSingleQuotes": "false",
 }
-# A key that must hold text followed by something else, or an escaped key.
-_MAYBE_MISTYPED = r'"(?:id|type|hash)"\s*:\s*[^"\s]|\\u00'
-_ROUTE = r"^/update/([^/]*)/([^/]*)/([^/]*)/?$"
 
 
 def _wrapped(body: Column, element: str) -> Column:
@@ -35,6 +34,26 @@ def _wrapped(body: Column, element: str) -> Column:
     return F.from_json(text, schema, _PARSE_OPTIONS)
 
 
+def _maybe_not_text(item: Column) -> Column:
+    """Whether a text field reads like a number, a boolean or a nested value.
+
+    Spark turns those into text without complaint. Real text may look the same, so
+    this only selects the bodies worth a second parse; comparing first characters
+    costs a fraction of a pattern match.
+    """
+
+    def suspicious(field: Column) -> Column:
+        return F.coalesce(
+            ((field >= "-") & (field < ":"))
+            | field.startswith("{")
+            | field.startswith("[")
+            | field.isin("true", "false"),
+            F.lit(False),
+        )
+
+    return suspicious(item["id"]) | suspicious(item["type"]) | suspicious(item["hash"])
+
+
 def _not_text(tagged: Column) -> Column:
     """Whether a field that must be text holds another kind of JSON value."""
 
@@ -44,17 +63,6 @@ def _not_text(tagged: Column) -> Column:
     return wrong(tagged["id"]) | wrong(tagged["type"]) | wrong(tagged["hash"])
 
 
-def _filled(item: Column) -> Column:
-    """Absent text is empty, as in a zero record; absent numbers stay NULL."""
-    return F.struct(
-        F.coalesce(item["id"], F.lit("")).alias("id"),
-        F.coalesce(item["type"], F.lit("")).alias("type"),
-        item["delta"].alias("delta"),
-        item["value"].alias("value"),
-        F.coalesce(item["hash"], F.lit("")).alias("hash"),
-    )
-
-
 def _once(parsed: DataFrame, columns: list[str], *outputs: Column) -> DataFrame:
     """Add ``outputs``, each worked out once per row.
 
@@ -64,9 +72,34 @@ def _once(parsed: DataFrame, columns: list[str], *outputs: Column) -> DataFrame:
     return parsed.select(*columns, F.inline(F.array(F.struct(*outputs))))
 
 
-def _is_infinite(item: Column) -> Column:
-    """JSON has no infinity, so an infinite value was a number out of range."""
-    return F.coalesce(F.abs(item["value"]) == float("inf"), F.lit(False))
+def _fields(item: Column) -> list[Column]:
+    """Absent text is empty, as in a zero record; absent numbers stay NULL."""
+    return [
+        F.coalesce(item["id"], F.lit("")).alias("name"),
+        F.coalesce(item["type"], F.lit("")).alias("metric_type"),
+        item["delta"].alias("delta"),
+        item["value"].alias("value"),
+    ]
+
+
+def _malformed(found: Column, tagged: Column) -> Column:
+    """Whether a body parsed as ``_json`` with elements ``found`` must be refused.
+
+    JSON has no infinity, so an infinite value was a number out of range. The
+    stricter second parse ``tagged`` runs for suspicious bodies only.
+    """
+    def has(infinity: float) -> Column:
+        return F.coalesce(F.array_contains(found["value"], infinity), F.lit(False))
+
+    return (
+        F.col("_json._bad").isNotNull()
+        | F.coalesce(F.size("_json.items") != 1, F.lit(True))
+        | has(float("inf"))
+        | has(float("-inf"))
+        | F.when(
+            F.exists(found, _maybe_not_text), F.coalesce(F.exists(tagged, _not_text), F.lit(False))
+        ).otherwise(False)
+    )
 
 
 def parse_updates(requests: DataFrame, body: str = "body") -> DataFrame:
@@ -78,27 +111,13 @@ def parse_updates(requests: DataFrame, body: str = "body") -> DataFrame:
     """
     text = F.coalesce(F.col(body), F.lit(""))
     parsed = requests.withColumn("_json", _wrapped(text, _TYPED))
-    tagged = F.exists(_wrapped(text, _TAGGED)["items"], _not_text)
-    item = _filled(F.col("_json.items")[0])
-    malformed = (
-        F.col("_json._bad").isNotNull()
-        | F.coalesce(F.size("_json.items") != 1, F.lit(True))
-        | F.coalesce(_is_infinite(F.col("_json.items")[0]), F.lit(False))
-        | F.when(text.rlike(_MAYBE_MISTYPED), F.coalesce(tagged, F.lit(False))).otherwise(False)
-    )
-    judged = parsed.withColumn("malformed", malformed).withColumn(
-        "_item", F.when(~F.col("malformed"), item)
-    )
-    return _once(
-        judged,
-        requests.columns,
-        F.col("_item.id").alias("name"),
-        F.col("_item.type").alias("metric_type"),
-        F.col("_item.delta").alias("delta"),
-        F.col("_item.value").alias("value"),
-        F.col("_item.hash").alias("hash"),
-        F.col("malformed"),
-    )
+    found = F.col("_json.items")
+    malformed = _malformed(found, _wrapped(text, _TAGGED)["items"])
+    judged = parsed.withColumn("malformed", malformed)
+    item = F.get(found, 0)
+    fields = [*_fields(item), F.coalesce(item["hash"], F.lit("")).alias("hash")]
+    kept = [F.when(~F.col("malformed"), f).alias(n) for f, n in zip(fields, _FIELD_NAMES)]
+    return _once(judged, requests.columns, *kept, F.col("malformed"))
 
 
 def parse_batches(requests: DataFrame, body: str = "body") -> DataFrame:
@@ -108,16 +127,10 @@ def parse_batches(requests: DataFrame, body: str = "body") -> DataFrame:
     """
     text = F.coalesce(F.col(body), F.lit(""))
     parsed = requests.withColumn("_json", _wrapped(text, f"array<{_TYPED}>"))
-    tagged = F.exists(_wrapped(text, f"array<{_TAGGED}>")["items"][0], _not_text)
-    found = F.col("_json.items")[0]
-    malformed = (
-        F.col("_json._bad").isNotNull()
-        | F.coalesce(F.size("_json.items") != 1, F.lit(True))
-        | F.coalesce(F.exists(found, _is_infinite), F.lit(False))
-        | F.when(text.rlike(_MAYBE_MISTYPED), F.coalesce(tagged, F.lit(False))).otherwise(False)
-    )
-    items = F.coalesce(F.transform(found, _filled), F.array().cast(f"array<{_TYPED}>"))
+    found = F.get("_json.items", 0)
+    malformed = _malformed(found, F.get(_wrapped(text, f"array<{_TAGGED}>")["items"], 0))
     judged = parsed.withColumn("malformed", malformed)
+    items = F.coalesce(found, F.array().cast(f"array<{_TYPED}>"))
     return _once(
         judged,
         requests.columns,
@@ -141,23 +154,37 @@ def explode_batches(batches: DataFrame, items: str = "items") -> DataFrame:
         "ts",
         "client",
         F.lit("batch").alias("form"),
-        F.col("_item.id").alias("name"),
-        F.col("_item.type").alias("metric_type"),
-        F.col("_item.delta").alias("delta"),
-        F.col("_item.value").alias("value"),
+        *_fields(F.col("_item")),
     )
 
 
 def parse_paths(requests: DataFrame, path: str = "path") -> DataFrame:
     """Updates from ``/update/{type}/{id}/{value}``; other paths are malformed."""
     text = F.coalesce(F.col(path), F.lit(""))
-    value_text = F.regexp_extract(text, _ROUTE, 3)
-    metric_type = F.regexp_extract(text, _ROUTE, 1)
-    return requests.select(
+    split = requests.withColumn("_parts", F.split(text, "/", 7))
+    parts, length = F.col("_parts"), F.size("_parts")
+    # One closing slash is allowed: it leaves an empty sixth part.
+    routed = (
+        (F.get(parts, 0) == "")
+        & (F.get(parts, 1) == "update")
+        & ((length == 5) | ((length == 6) & (F.get(parts, 5) == "")))
+    )
+
+    def part(position: int) -> Column:
+        return F.when(routed, F.get(parts, position)).otherwise("")
+
+    fields = split.select(
         *requests.columns,
-        F.regexp_extract(text, _ROUTE, 2).alias("name"),
-        metric_type.alias("metric_type"),
-        F.when(metric_type == "counter", parse_int64(value_text)).alias("delta"),
-        F.when(metric_type == "gauge", parse_float64(value_text)).alias("value"),
-        (~text.rlike(_ROUTE)).alias("malformed"),
+        part(3).alias("name"),
+        part(2).alias("metric_type"),
+        part(4).alias("_value"),
+        (~routed).alias("malformed"),
+    )
+    is_counter, is_gauge = F.col("metric_type") == COUNTER, F.col("metric_type") == GAUGE
+    return _once(
+        fields,
+        [*requests.columns, "name", "metric_type"],
+        F.when(is_counter, parse_int64(F.col("_value"))).alias("delta"),
+        F.when(is_gauge, parse_float64(F.col("_value"))).alias("value"),
+        F.col("malformed"),
     )

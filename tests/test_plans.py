@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import batches, fold, lookup, validate
 from tallyfold.plans.catalog import QUERIES
 from tallyfold.sources.files import REQUEST
-from tallyfold.sources.updates import explode_batches, parse_batches, parse_updates
+from tallyfold.sources.updates import parse_batches, parse_updates
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,7 +45,7 @@ def test_bodies_are_parsed_once(requests):
     judged = validate.judge_batches(parse_batches(requests), key="k")
     singles = validate.classify(parse_updates(requests).withColumn("form", F.lit("json")))
     for frame in (
-        fold.fold_updates(explode_batches(judged)),
+        fold.fold_updates(validate.applied_updates(judged)),
         judged.where("applied").select("items"),
         singles.where("update_class = 'ok' and not malformed"),
     ):

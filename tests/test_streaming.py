@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tallyfold.operators.audit import audit_bodies
 from tallyfold.operators.fold import fold_updates
 from tallyfold.operators.report import polls_per_report, report_windows
-from tallyfold.operators.validate import judge_batches
+from tallyfold.operators.validate import applied_updates, judge_batches
 from tallyfold.sinks.audit_log import append_audit, read_audit
 from tallyfold.sinks.snapshot import load_snapshot, save_snapshot
 from tallyfold.sinks.versions import current_version
 from tallyfold.sources.files import REQUEST, stream_requests
 from tallyfold.sources.state_table import read_state
-from tallyfold.sources.updates import explode_batches, parse_batches
+from tallyfold.sources.updates import parse_batches
 from tallyfold.streaming.audit import run_audit
 from tallyfold.streaming.report import stream_polls_per_report, stream_report_windows
 from tallyfold.streaming.state import continuous_state, run_snapshots, run_state_table
@@ -153,7 +153,7 @@ def test_request_stream_feeds_state_and_audit(spark, tmp_path):
             "compression", "gzip"
         ).json(folder)
     judged = judge_batches(parse_batches(stream_requests(spark, folder, files_per_trigger=1)))
-    run_state_table(explode_batches(judged), str(tmp_path / "state"), str(tmp_path / "c1"), "w").awaitTermination()
+    run_state_table(applied_updates(judged), str(tmp_path / "state"), str(tmp_path / "c1"), "w").awaitTermination()
     assert values(read_state(spark, str(tmp_path / "state"))) == {("a", "counter"): 4, ("g", "gauge"): 3.0}
     sinks = [lambda events, n=n: append_audit(events, str(tmp_path / n)) for n in ("one", "two")]
     run_audit(audit_bodies(judged), sinks, str(tmp_path / "c2")).awaitTermination()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators import validate as v
-from tallyfold.sources.updates import explode_batches, parse_batches
+from tallyfold.sources.updates import parse_batches
 from tests.helpers import T0, one_by_one, state, updates
 
 
@@ -92,7 +92,7 @@ def test_bodies_are_judged_like_rows(spark, on_invalid):
     by_batch = {r.batch_id: r for r in judged.collect()}
     assert {b: r.http_status for b, r in by_batch.items()} == {0: 200, 1: 500, 2: 200, 3: 500, 4: 500}
     assert {b: r.audit_ids for b, r in by_batch.items()} == {0: ["a", "b"], 1: None, 2: ["h", "a"], 3: None, 4: None}
-    from_bodies = sorted((r.batch_id, r.name, r.delta, r.value) for r in explode_batches(judged).collect())
+    from_bodies = sorted((r.batch_id, r.name, r.delta, r.value) for r in v.applied_updates(judged).collect())
     from_rows = sorted(
         (r.batch_id, r.name, r.delta, r.value)
         for r in v.accepted_updates(updates(spark, BATCHES), on_invalid).collect()
@@ -161,3 +161,21 @@ def test_too_long_batch_fails(spark):
     rows = spark.range(1).select(seq_of(F.lit(1), F.lit(1 << 20)).alias("s"))
     with pytest.raises(Exception, match="a batch holds more than"):
         rows.collect()
+
+
+@pytest.mark.parametrize("store", [v.MEMORY, v.TABLE])
+def test_both_ways_to_judge_an_element_agree(spark, store):
+    from itertools import product
+
+    from tallyfold.functions.classes import fails_batch, stops_batch
+
+    names = [None, "", "a", "n" * 101]
+    kinds = [None, "", "counter", "gauge", "x"]
+    deltas, numbers = [None, 0, 2**31], [None, 1.0]
+    rows = spark.createDataFrame(
+        list(product(names, kinds, deltas, numbers)), "id string, type string, delta bigint, value double"
+    )
+    batch = rows.withColumn("form", F.lit("batch")).withColumnsRenamed({"id": "name", "type": "metric_type"})
+    by_class = v.classify(batch, store).select(fails_batch(F.col("update_class"))).collect()
+    item = F.struct("id", "type", "delta", "value")
+    assert by_class == rows.select(stops_batch(item, store)).collect()
