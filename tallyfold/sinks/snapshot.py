@@ -22,16 +22,15 @@ def save_snapshot(
     Readers keep the former snapshot until the new one is complete. One line is
     one document; small states are a single document.
     """
+    spark = state.sparkSession
     lines = snapshot_documents(state, documents).select(
         F.to_json(F.struct("counters", "gauges")).alias("value")
     )
-    return commit_version(
-        state.sparkSession,
-        path,
-        lambda folder: lines.write.mode("overwrite").text(folder),
-        writer,
-        epoch,
-    )
+
+    def write(folder: str) -> None:
+        lines.write.mode("overwrite").text(folder)
+
+    return commit_version(spark, path, current_version(spark, path), write, writer, epoch)
 
 
 def load_snapshot(spark: SparkSession, path: str) -> DataFrame | None:

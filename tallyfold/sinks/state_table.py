@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tallyfold.operators.fold import merge_states
 from tallyfold.schema import STATE
 from tallyfold.sinks.versions import Version, commit_version, current_version
-from tallyfold.sources.state_table import read_state
+from tallyfold.sources.state_table import read_version
 
 
 def upsert_state(newer: DataFrame, path: str, writer: str, epoch: int) -> Version:
@@ -19,13 +19,13 @@ def upsert_state(newer: DataFrame, path: str, writer: str, epoch: int) -> Versio
     current = current_version(spark, path)
     if current is not None and current.covers(writer, epoch):
         return current
-    merged = newer if current is None else merge_states(read_state(spark, path), newer)
+    merged = newer if current is None else merge_states(read_version(spark, current), newer)
     rows = merged.select(*STATE.fieldNames()).sortWithinPartitions("metric_type", "name")
 
     def write(folder: str) -> None:
         rows.write.mode("overwrite").partitionBy("metric_type").parquet(folder)
 
-    return commit_version(spark, path, write, writer, epoch)
+    return commit_version(spark, path, current, write, writer, epoch)
 
 
 def stage_state_jdbc(newer: DataFrame, url: str, staging_table: str, **options: str) -> None:

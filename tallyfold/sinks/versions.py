@@ -52,10 +52,14 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
 
 
 def commit_version(
-    spark: SparkSession, path: str, write: Callable[[str], None], writer: str, epoch: int
+    spark: SparkSession,
+    path: str,
+    current: Version | None,
+    write: Callable[[str], None],
+    writer: str,
+    epoch: int,
 ) -> Version:
-    """Write the next version with ``write(folder)`` and make it current."""
-    current = current_version(spark, path)
+    """Write the version after ``current`` with ``write(folder)`` and make it current."""
     number = 0 if current is None else current.number + 1
     write(version_folder(path, number))
     row = spark.range(1).select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.schema import METRIC_TYPES, STATE
-from tallyfold.sinks.versions import current_version
+from tallyfold.sinks.versions import Version, current_version
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -16,8 +16,10 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     rows lie sorted by name, so a filter on ``name`` skips row groups.
     """
     version = current_version(spark, path)
-    if version is None:
-        return spark.createDataFrame([], STATE)
+    return spark.createDataFrame([], STATE) if version is None else read_version(spark, version)
+
+
+def read_version(spark: SparkSession, version: Version) -> DataFrame:
     return (
         spark.read.schema(STATE)
         .option("basePath", version.folder)
