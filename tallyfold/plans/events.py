@@ -21,11 +21,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # As a pattern, the path may name one file as well as a folder of files.
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/event[s].parquet")
 
 
 def as_updates(events: DataFrame) -> DataFrame:

@@ -3,13 +3,13 @@
 Parquet has no ``MERGE INTO``. Each version is written to its own folder and
 becomes current only when a row for it is appended to the commit log, so a job
 that dies half-way leaves the former version in place, and a replayed
-micro-batch is recognised by its ``(writer, epoch)``. One writer per path.
+micro-batch is recognised by its ``(writer, epoch)``. Writers take turns on a path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -22,15 +22,14 @@ _COMMIT = "version bigint, writer string, epoch bigint"
 class Version:
     path: str
     number: int
-    writer: str
-    epoch: int
+    epochs: dict[str, int] = field(default_factory=dict)
 
     @property
     def folder(self) -> str:
         return version_folder(self.path, self.number)
 
     def covers(self, writer: str, epoch: int) -> bool:
-        return self.writer == writer and self.epoch >= epoch
+        return self.epochs.get(writer, -1) >= epoch
 
 
 def version_folder(path: str, number: int) -> str:
@@ -45,10 +44,15 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    row = log.agg(F.max_by(F.struct("version", "writer", "epoch"), "version").alias("c")).first()
-    if row is None or row.c is None:
+    # One row per writer, of which a path has a handful.
+    writers = (
+        log.groupBy("writer")
+        .agg(F.max("version").alias("version"), F.max("epoch").alias("epoch"))
+        .collect()
+    )
+    if not writers:
         return None
-    return Version(path, row.c.version, row.c.writer, row.c.epoch)
+    return Version(path, max(w.version for w in writers), {w.writer: w.epoch for w in writers})
 
 
 def commit_version(
@@ -68,4 +72,5 @@ def commit_version(
         F.lit(epoch).cast("bigint").alias("epoch"),
     )
     row.write.mode("append").json(f"{path}/commits")
-    return Version(path, number, writer, epoch)
+    epochs = {} if current is None else current.epochs
+    return Version(path, number, {**epochs, writer: epoch})

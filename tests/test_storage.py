@@ -29,6 +29,10 @@ def test_upsert_is_idempotent_per_epoch(spark, tmp_path):
     assert current_version(spark, path).number == 1
     upsert_state(second, path, "another writer", 0)
     assert values(read_state(spark, path))[("a", "counter")] == 11
+    # A replay is recognised even after somebody else has written.
+    upsert_state(second, path, "w", 1)
+    upsert_state(second, path, "w", 0)
+    assert values(read_state(spark, path))[("a", "counter")] == 11
 
 
 def test_half_written_version_is_ignored(spark, tmp_path):
