@@ -90,4 +90,23 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from g
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1}
+OP5 = """
+with d as (
+  select row_number() over () as row_id, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents
+),
+l as (
+  select row_id, doc_id, i, ls[i] as line,
+         translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select *, unnest(range(1, len(ls) + 1)) as i from d)
+),
+r as (
+  select k, max(doc_id) as last from l where length(k) >= 20 group by k having count(distinct row_id) >= 3
+),
+j as (select l.*, r.k is not null and l.doc_id is distinct from r.last as lost from l left join r using (k))
+select doc_id, count(*)::bigint as n_lines, count(*) filter (lost)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not lost), '')) as kept_sha256
+from j group by row_id, doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op5_line_dedup": OP5}
