@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyfold.llm.mixing import DOMAINS, PATH, WEIGHTS
 from tallyfold.llm.quality_rules import REFERENCES
 
 _WS = "[\\x20\\x09-\\x0D]"
@@ -90,6 +91,73 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from g
 """
 
+def _mix_level(level: int, above: str) -> str:
+    """Shares of one level of the tree, as ``l<level>``."""
+    path = PATH[: level + 1]
+    cols, parent = ", ".join(path), ", ".join(PATH[:level])
+    weight = " ".join(
+        f"when {' and '.join(f'n.{c} = {v!r}' for c, v in zip(PATH, p, strict=False))} then {w}"
+        for p, w in WEIGHTS.items()
+        if len(p) == level + 1
+    )
+    weight = f"case {weight} else 1 end" if weight else "1"
+    on = " and ".join(f"n.{c} is not distinct from a.{c}" for c in PATH[:level]) or "true"
+    part = f"partition by {parent}" if parent else ""
+    order = f"{part} order by supply / weight, {path[-1]} nulls first rows between unbounded preceding and 1 preceding"
+    return f"""
+n{level} as (
+  select n.*, a.budget, {weight}::hugeint as weight
+  from (select {cols}, sum(tokens * 2)::hugeint as supply from leaves group by {cols}) n join {above} a on {on}
+),
+w{level} as (
+  select *, coalesce(sum(supply) over ({order}), 0)::hugeint as used,
+         (sum(weight) over ({part}) - coalesce(sum(weight) over ({order}), 0))::hugeint as ws
+  from n{level}
+),
+s{level} as (select *, supply * ws <= weight * (budget - used) as short from w{level}),
+l{level} as (
+  select {cols}, case when short then supply else
+    (weight * (budget - coalesce(sum(supply) filter (short) over ({part}), 0)::hugeint))
+    // coalesce(sum(weight) filter (not short) over ({part}), 0)::hugeint end as budget
+  from s{level}
+)"""
+
+
+_DOMAIN = " ".join(
+    f"when source in ({', '.join(repr(s) for s, d in DOMAINS.items() if d == domain)}) then '{domain}'"
+    for domain in sorted(set(DOMAINS.values()))
+)
+OP4 = f"""
+with d as (
+  select row_number() over () as row_id, doc_id, case {_DOMAIN} else 'other' end as domain, lang, source,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::bigint as n_tokens
+  from documents
+),
+leaves as (select domain, lang, source, sum(n_tokens)::hugeint as tokens from d group by all),
+root as (select least(sum(tokens) * 100 // 100, sum(tokens * 2))::hugeint as budget from leaves),
+{_mix_level(0, 'root')}, {_mix_level(1, 'l0')}, {_mix_level(2, 'l1')},
+plan as (
+  select l.*, budget // tokens as epochs, budget % tokens as rest
+  from leaves l join l2 b on l.domain = b.domain and l.lang is not distinct from b.lang
+    and l.source is not distinct from b.source
+  where tokens > 0 and budget > 0
+),
+j as (
+  select d.*, p.epochs, p.rest, md5('17:' || p.epochs || ':' || coalesce(doc_id::varchar, '')) as k
+  from d join plan p on d.domain = p.domain and d.lang is not distinct from p.lang
+    and d.source is not distinct from p.source
+),
+o as (
+  select *, sum(n_tokens) over (partition by domain, lang, source order by k)
+            - sum(n_tokens) over (partition by domain, lang, source, k) as sofar
+  from j
+),
+x as (select *, unnest(range(0, (epochs + case when sofar < rest then 1 else 0 end)::bigint)) as epoch from o)
+select doc_id, domain, lang, source, n_tokens, epoch::int as epoch,
+       md5('17:' || epoch || ':' || coalesce(doc_id::varchar, '')) as place
+from x
+"""
+
 OP5 = """
 with d as (
   select row_number() over () as row_id, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents
@@ -109,4 +177,4 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (lost)::bigint as n_
 from j group by row_id, doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op5_line_dedup": OP5}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import line_dedup
+from tallyfold.llm import line_dedup, mixing
 from tallyfold.llm import quality_rules as rules
 from tallyfold.llm import simhash
 from tallyfold.llm.common import table
@@ -30,6 +30,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.with_domain(table(spark, sf_dir, "documents"), mixing.DOMAINS)
+    taken = mixing.mix(docs, mixing.WEIGHTS)
+    return taken.select("doc_id", *mixing.PATH, "n_tokens", "epoch", "place")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -38,5 +44,6 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
 }
