@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import line_dedup, mixing
+from tallyfold.llm import line_dedup, mixing, pieces
 from tallyfold.llm import quality_rules as rules
 from tallyfold.llm import simhash
 from tallyfold.llm.common import table
@@ -41,9 +41,23 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proto = pieces.read_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, proto), proto)
+    return both.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ",").cast("binary"), 256).alias("pieces_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op10_pieces": op10_pieces,
 }
