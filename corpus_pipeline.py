@@ -3,21 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyfold.llm import line_dedup, mixing, pieces, simhash
 from tallyfold.llm import quality_rules as rules
 from tallyfold.llm.common import cut
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a base rule or the divergence rule rejects go."""
     return rules.quality_rules(docs).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; a document all of whose lines went goes too."""
+    kept = line_dedup.drop_repeated_lines(docs)
+    emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
+    return kept.filter(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's budget of tokens; a document is there once per epoch it is taken in."""
+    taken = mixing.mix(mixing.with_domain(docs, mixing.DOMAINS), mixing.WEIGHTS)
+    return taken.select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training rows: piece ids and their number, instead of the text."""
+    proto = pieces.read_model()
+    rows = pieces.encode(docs, proto)
+    return rows.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_copies),
+    ("mixing to target weights", mixture),
+    ("piece encoding", encoded),
+]
 
-# The stages after the second need hashes and encodings that SQL has not.
+# SimHash fingerprints and piece ids cannot be had in SQL; tests hold the rows against
+# brute force.
 ORACLE_SQL = None
 
 
