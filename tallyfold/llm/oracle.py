@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyfold.llm.mixing import DOMAINS, PATH, WEIGHTS
 from tallyfold.llm.quality_rules import REFERENCES
+from tallyfold.llm.url_filters import LOWER, RULES, UPPER, VARIABLE
 
 _WS = "[\\x20\\x09-\\x0D]"
 _WORD = "[^\\x20\\x09-\\x0D]+"
@@ -177,4 +178,85 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (lost)::bigint as n_
 from j group by row_id, doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5}
+def _url_level(level: int) -> str:
+    """Templates after generalising the segment at ``level`` (from 0)."""
+    return f"""
+k{level} as (
+  select *, case when len(template) > {level} then array_to_string(template[1:{level}], '/') end as p,
+         template[{level + 1}] as c
+  from t{level}
+),
+w{level} as (
+  select host, p from (
+    select host, p, c, sum(pages) as pages from k{level} where p is not null and c not in ('*', '**') group by all
+  ) group by all having count(*) >= 8 and sum(pages) <= 2 * count(*)
+),
+t{level + 1} as (
+  select k.host, lexical, pages, labelled, bad,
+         case when w.host is not null and c not in ('*', '**')
+              then list_concat(list_concat(template[1:{level}], ['*']), template[{level + 2}:]) else template end as template
+  from k{level} k left join w{level} w on k.host = w.host and k.p = w.p
+)"""
+
+
+_FIT = " ".join(
+    f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') then '{r.name}|{r.verdict}'"
+    for r in sorted(RULES, key=lambda r: -len(r.name))
+)
+OP9 = f"""
+with u as (
+  select page_id, coalesce(url like '%://%', false) as has, url from pages
+),
+v as (
+  select page_id,
+         case when has then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}') else '' end as host,
+         case when has then regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) else '' end as path
+  from u
+),
+r as (
+  select *, case {_FIT} end as fit,
+         list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+                        lambda s: case when regexp_matches(s, '{VARIABLE}') then '*' else s end) as segs
+  from v
+),
+l as (select *, case when len(segs) > 6 then list_concat(segs[1:6], ['**']) else segs end as lexical from r),
+marks as (
+  select doc_id, count(*) as labelled, count(*) filter (quality = 0) as bad from labels where quality is not null group by 1
+),
+t0 as (
+  select host, lexical, lexical as template, count(*)::hugeint as pages,
+         coalesce(sum(labelled), 0)::hugeint as labelled, coalesce(sum(bad), 0)::hugeint as bad
+  from l left join marks on page_id = doc_id group by host, lexical
+),
+{", ".join(_url_level(i) for i in range(6))},
+g as (
+  select host, lexical, array_to_string(template, '/') as template, pages, labelled, bad from t6
+),
+lv as (
+  select host, template, regexp_replace(template, '(^|/)[^/]*$', '') as parent,
+         sum(labelled)::hugeint as n, sum(bad)::hugeint as b
+  from g group by host, template
+),
+po as (
+  select *, sum(n) over (partition by host, parent)::hugeint as pn, sum(b) over (partition by host, parent)::hugeint as pb
+  from lv
+),
+al as (
+  select *, (b * pn - pb * n) * (b * pn - pb * n) <= 4 * pb * (pn - pb) * n as alike from po
+),
+me as (
+  select host, template,
+         case when alike then sum(n) filter (alike) over (partition by host, parent) else n end::hugeint as n,
+         case when alike then sum(b) filter (alike) over (partition by host, parent) else b end::hugeint as b
+  from al
+),
+ov as (select sum(labelled)::hugeint as a, sum(bad)::hugeint as ab from t0),
+ve as (select host, template, coalesce(100 * (b * a + 10 * ab) >= 50 * a * (n + 10) and n > 0, false) as rejected from me, ov)
+select page_id, l.host, path, nullif(split_part(coalesce(fit, '|'), '|', 1), '') as rule,
+       case when fit is not null then split_part(fit, '|', 2) when rejected then 'block' else 'allow' end as verdict,
+       g.template
+from l join g on l.host = g.host and l.lexical = g.lexical
+join ve on g.host = ve.host and g.template = ve.template
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5, "op9_url_filters": OP9}

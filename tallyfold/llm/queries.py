@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import line_dedup, mixing, pieces
 from tallyfold.llm import quality_rules as rules
-from tallyfold.llm import simhash
+from tallyfold.llm import simhash, url_filters
 from tallyfold.llm.common import table
 from tallyfold.llm.oracle import ORACLE_SQL
 
@@ -41,6 +41,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is the quality label of the same number."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")
+    )
+    judged = url_filters.filter_urls(table(spark, sf_dir, "pages"), labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     proto = pieces.read_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,5 +68,6 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op9_url_filters": op9_url_filters,
     "op10_pieces": op10_pieces,
 }
