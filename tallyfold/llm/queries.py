@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import line_dedup, mixing, pieces
+from tallyfold.llm import quality_classifier as classifier
 from tallyfold.llm import quality_rules as rules
 from tallyfold.llm import simhash, url_filters
 from tallyfold.llm.common import table
@@ -30,6 +31,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = classifier.score(docs, classifier.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_domain(table(spark, sf_dir, "documents"), mixing.DOMAINS)
     taken = mixing.mix(docs, mixing.WEIGHTS)
@@ -66,6 +79,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op9_url_filters": op9_url_filters,
