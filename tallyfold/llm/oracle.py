@@ -178,6 +178,23 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (lost)::bigint as n_
 from j group by row_id, doc_id
 """
 
+OP8 = """
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select q.vec_id as query_id, v.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * v.v[i]))::bigint as score
+  from v q join v on q.vec_id <> v.vec_id where q.vec_id % 50 = 0
+),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+
 def _url_level(level: int) -> str:
     """Templates after generalising the segment at ``level`` (from 0)."""
     return f"""
@@ -259,4 +276,4 @@ from l join g on l.host = g.host and l.lexical = g.lexical
 join ve on g.host = ve.host and g.template = ve.template
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5, "op9_url_filters": OP9}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5, "op8_topk": OP8, "op9_url_filters": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import line_dedup, mixing, pieces
+from tallyfold.llm import chat, line_dedup, mixing, pieces, sharding, topk
 from tallyfold.llm import quality_classifier as classifier
 from tallyfold.llm import quality_rules as rules
 from tallyfold.llm import simhash, url_filters
@@ -54,6 +54,22 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation -7 says control strings; it must come back as it went in."""
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digest_conversations(chat.format_turns(chats.unionByName(added)))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's label is the quality label of the same number."""
     labels = table(spark, sf_dir, "labels").select(
@@ -82,6 +98,9 @@ QUERIES: dict[str, Query] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_chat": op6_chat,
+    "op7_sharding": op7_sharding,
+    "op8_topk": op8_topk,
     "op9_url_filters": op9_url_filters,
     "op10_pieces": op10_pieces,
 }
