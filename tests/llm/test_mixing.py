@@ -1,0 +1,87 @@
+import hashlib
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.llm import mixing as M
+from tests.llm.rows import awkward_docs, no_docs
+
+
+def pour(budget, children):
+    """Whole-token shares of ``{name: (weight, supply)}`` by repeated filling."""
+    share, open_ = {}, dict(children)
+    while True:
+        rest, weights = budget - sum(share.values()), sum(w for w, _ in open_.values())
+        short = {n for n, (w, s) in open_.items() if s <= Fraction(w * rest, weights)}
+        if not short:
+            return {**share, **{n: w * rest // weights for n, (w, _) in open_.items()}}
+        for n in short:
+            share[n] = open_.pop(n)[1]
+        if not open_:
+            return share
+
+
+def budgets(tokens, percent, weights, epochs):
+    def supply(path):
+        return sum(t * epochs for p, t in tokens.items() if p[: len(path)] == path)
+
+    level = {(): min(sum(tokens.values()) * percent // 100, supply(()))}
+    for depth in range(3):
+        following = {}
+        for path, budget in level.items():
+            names = {p[: depth + 1] for p in tokens if p[:depth] == path}
+            following |= pour(budget, {n: (weights.get(n, 1), supply(n)) for n in names})
+        level = following
+    return level
+
+
+def brute(rows, percent, weights, epochs, seed):
+    tokens = {}
+    for _, path, n in rows:
+        tokens[path] = tokens.get(path, 0) + n
+    out = []
+    for path, budget in budgets(tokens, percent, weights, epochs).items():
+        own = [(d, n) for d, p, n in rows if p == path]
+        for epoch in range(epochs + 1):
+            place = lambda d, e=epoch: hashlib.md5(f"{seed}:{e}:{'' if d is None else d}".encode()).hexdigest()
+            before = lambda d: sum(n for x, n in own if place(x) < place(d))  # noqa: E731, B023
+            whole = tokens[path] and budget >= tokens[path]
+            out += [(str(d), path, n, epoch) for d, n in own if whole or before(d) < budget]
+            budget = max(0, budget - tokens[path])
+    return sorted(out, key=str)
+
+
+def result(frame):
+    return sorted(((str(r["doc_id"]), tuple(r[c] for c in M.PATH), r["n_tokens"], r["epoch"]) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("percent, epochs", [(100, 2), (40, 1), (170, 3), (1000, 2)])
+def test_mix_equals_brute_force(spark, percent, epochs):
+    rows = [
+        (i, (("web", "news")[i % 2], ("en", "de", None)[i % 3], f"src{i % 5}"), (i * 7) % 23 + (0 if i % 11 else 500))
+        for i in range(300)
+    ]
+    docs = spark.createDataFrame([(d, *p, n) for d, p, n in rows], "doc_id long, domain string, lang string, source string, size long")
+    weights = {("web",): 3, ("news",): 1, ("web", "en"): 5, ("web", "en", "src0"): 9, ("web", None): 2}
+    got = M.mix(docs.withColumn("text", F.lit("")), weights, percent, 1, epochs, 17, F.col("size"))
+    assert result(got) == brute(rows, percent, weights, epochs, 17)
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_awkward_documents(spark, extra):
+    docs = M.with_domain(awkward_docs(spark, extra), M.DOMAINS)
+    got = M.mix(docs, M.WEIGHTS)
+    rows = [(r["doc_id"], (r["domain"], r["lang"], r["source"]), len((r["text"] or "").split())) for r in docs.collect()]
+    assert result(got) == brute(rows, 100, M.WEIGHTS, 2, 17)
+
+
+def test_shortage_goes_to_siblings_first(spark):
+    rows = [("web", "en", "a", 10), ("web", "en", "b", 1000), ("news", "en", "c", 1000)]
+    leaves = spark.createDataFrame([(*r, 1) for r in rows], "domain string, lang string, source string, tokens long, docs long")
+    shares = {r["source"]: r["budget"] for r in M.budgets(leaves, 20, {}, 1, 1).collect()}
+    assert shares == {"a": 10, "b": 191, "c": 201}
+
+
+def test_no_rows(spark):
+    assert M.mix(M.with_domain(no_docs(spark), M.DOMAINS), M.WEIGHTS).count() == 0

@@ -1,0 +1,83 @@
+import re
+
+import pytest
+
+from tallyfold.llm.quality_rules import REFERENCES, fit_references, js_distance, quality_rules
+from tests.llm.rows import awkward_docs, no_docs
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = list(zip(words, words[1:], words[2:]))
+    seen = {}
+    for i, w in enumerate(windows):
+        seen.setdefault(w, []).append(i)
+    covered = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_base_counts_equal_brute_force(spark, extra):
+    docs = awkward_docs(spark, extra)
+    rows = quality_rules(docs).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert tuple(r[c] for c in COUNTS) == base(r["text"])
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed
+        assert not (failed and r["kept"])
+
+
+def test_repeated_lines_and_windows(spark):
+    text = "a b c d\na b c d\n\n \na b c\n" + "a b c d"
+    row = quality_rules(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
+    assert tuple(row[c] for c in COUNTS) == base(text)
+    assert row["n_dup_lines"] == 2
+
+
+def test_clean_prose_stays_and_junk_goes(spark):
+    prose = "The house of the king is in the middle of a town and it was built for the people. " * 1
+    clean = " ".join(prose.replace("town", f"town{chr(97 + i % 26)}") for i in range(12))
+    distinct = " ".join(f"{w}{i}" if i % 3 else w for i, w in enumerate(clean.split()))
+    junk = " ".join(f"word{i}{'#$%&'[i % 4] * 3}" for i in range(150))
+    docs = spark.createDataFrame([(1, distinct, "en"), (2, junk, "en"), (3, junk, None)], "doc_id int, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(docs, max_repeat_percent=100).collect()}
+    assert kept[2] is False and kept[3] is False
+
+
+def test_distance_is_zero_for_equal_and_one_for_disjoint(spark):
+    from pyspark.sql import functions as F
+
+    a = lambda *x: F.array(*map(F.lit, map(float, x)))
+    row = spark.range(1).select(
+        js_distance(a(1, 2), a(2, 4)).alias("same"), js_distance(a(1, 0), a(0, 3)).alias("apart"),
+        js_distance(a(0, 0), a(1, 1)).alias("none"),
+    ).first()
+    assert row["same"] == pytest.approx(0, abs=1e-7) and row["apart"] == pytest.approx(1)
+    assert 0 < row["none"] < 1
+
+
+def test_short_texts_are_guarded(spark):
+    docs = spark.createDataFrame([(1, "### $$$ %%%", "en")], "doc_id int, text string, lang string")
+    row = quality_rules(docs, min_words=1).first()
+    assert row["char_distance"] is None and row["word_distance"] is None and row["kept"]
+
+
+def test_fitted_references(spark):
+    docs = spark.createDataFrame([(1, "The the a b", "en"), (2, None, "en")], "doc_id int, text string, lang string")
+    ref = fit_references(docs, {"en": ["the"]})["en"]
+    assert ref["words"] == {"the": 250.0}
+    assert sum(ref["chars"]) == pytest.approx(1)
+    assert set(REFERENCES) == {"en", "de", "fr", "es"}
+
+
+def test_no_rows(spark):
+    assert quality_rules(no_docs(spark)).count() == 0

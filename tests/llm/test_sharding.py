@@ -1,0 +1,79 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyfold.llm import sharding as S
+from tests.llm.rows import awkward_docs, no_docs
+
+
+def check_law(rows, shards):
+    counts = Counter(r["shard"] for r in rows)
+    sizes = [counts.get(s, 0) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+    for s in counts:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(counts[s]))
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_awkward_documents(spark, extra):
+    docs = awkward_docs(spark, extra)
+    rows = S.assign_shards(docs, 5, 4).collect()
+    check_law(rows, 5)
+    want = sorted((str(r["doc_id"]), len((r["text"] or "").encode()) + 16, zlib.crc32((r["text"] or "").encode())) for r in docs.collect())
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in rows) == want
+
+
+def by_key(counts, owners, room):
+    """Each key walks alone, step by step; equals the walk on counts."""
+    room, where = list(room), {}
+    waiting = [(arc, k) for arc, n in enumerate(counts) for k in range(n)]
+    for steps in range(len(counts)):
+        left = []
+        for arc, k in waiting:
+            shard = owners[(arc + steps) % len(counts)]
+            if room[shard]:
+                room[shard] -= 1
+                where[arc, k] = shard
+            else:
+                left.append((arc, k))
+        waiting = left
+    return where
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_walk_on_counts_equals_walk_by_key(seed):
+    rng = np.random.default_rng(seed)
+    _, owners = S.ring(5, 3, seed)
+    counts = rng.integers(0, 30, 15)
+    room = S.capacities(int(counts.sum()), 5)
+    ranges = S.walk(counts, owners, room)
+    got = {(r.arc, k): r.shard for r in ranges for k in range(r.first, r.end)}
+    assert got == by_key(counts.tolist(), owners.tolist(), room.tolist())
+
+
+def test_documents_equal_brute_force(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(500)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["shard"] for r in S.assign_shards(docs, 7, 16).collect()}
+    from pyspark.sql import functions as F
+
+    places, owners = S.ring(7, 16, 5)
+    hashes = [(r[0], r[1] % 2**64) for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(5))).collect()]
+    arcs = {}
+    for doc_id, h in hashes:
+        arcs.setdefault(int(np.searchsorted(places, np.uint64(h))) % len(places), []).append((h - 2**64 if h >> 63 else h, doc_id))
+    counts = [len(arcs.get(a, [])) for a in range(len(places))]
+    where = by_key(counts, owners.tolist(), S.capacities(500, 7).tolist())
+    assert rows == {d: where[a, k] for a, own in arcs.items() for k, (_, d) in enumerate(sorted(own))}
+
+
+def test_one_more_shard_moves_few(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(4000)], "doc_id long, text string")
+    a, b = ({r["doc_id"]: r["shard"] for r in S.assign_shards(docs, n).collect()} for n in (10, 11))
+    assert sum(a[i] != b[i] for i in a) < 0.45 * len(a)  # modulo would move ten in eleven
+
+
+def test_no_rows(spark):
+    assert S.assign_shards(no_docs(spark)).count() == 0
+    assert S.assign_shards(no_docs(spark).limit(0), 1, 1).count() == 0
