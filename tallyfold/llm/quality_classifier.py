@@ -148,13 +148,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, seed: i
             yield pa.RecordBatch.from_arrays([batch.column(0), found, batch.column(2)], names=["doc_id", "x", "label"])
 
     rows = (
-        docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # sample_rows at most
+        docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # sample_rows at most
         .select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int"))
         .mapInArrow(run, "doc_id long, x array<double>, label int")
         .groupBy("doc_id").agg(F.min("x").alias("x"), F.first("label").alias("label"))
         .toPandas().sort_values("doc_id")
     )
-    x = np.array(rows["x"].tolist(), float).reshape(len(rows), -1)
+    x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(STATISTICS))
     return fit(x, rows["label"].to_numpy(float), **options)
 
 
