@@ -48,6 +48,41 @@ def counter_text(value: Column) -> Column:
     return value.cast("string")
 
 
+def _shortest(value: Column) -> Column:
+    """``d.ddde+XX`` with the fewest digits that read back, trailing zeros among them.
+
+    15, 16 or 17 digits are tried: older JVMs print surplus ones, and round from those, so
+    16 digits are tried rounded and cut off. Subnormals have fewer digits and start at 1.
+    """
+    def tried(digits: int) -> Column:
+        return F.format_string(f"%.{digits - 1}e", value)
+
+    usual = [tried(15), tried(16), F.regexp_replace(tried(17), "[0-9]e", "e"), tried(17)]
+    few = [tried(digits) for digits in range(1, 15)]
+
+    def first(tries: list[Column]) -> Column:
+        return F.coalesce(*[F.when(t.try_cast("double") == value, t) for t in tries])
+
+    return F.when(F.abs(value) < 2.2250738585072014e-308, first([*few, *usual])).otherwise(first(usual))
+
+
+def json_number(value: Column) -> Column:
+    """A double as a JSON number: plain digits for exponents -6 to 20, else ``e``; NULL for
+    NaN and infinity, which JSON has not."""
+    size, text = F.abs(value), value.cast("string")
+    shortest = _shortest(value)
+    plain = F.when(size >= 1, shortest.cast("decimal(38,16)").cast("string")).otherwise(
+        shortest.cast("decimal(38,28)").cast("string")
+    )
+    powers = F.regexp_replace(F.regexp_replace(shortest, r"\.?0*e", "e"), "e-0([0-9])$", "e-$1")
+    return (
+        F.when((size >= 1e-3) & (size < 1e6) & (F.length(text) <= 16), F.regexp_replace(text, r"\.0$", ""))
+        .when(size == 0, F.regexp_replace(text, r"\.0$", ""))
+        .when((size >= 1e-6) & (size < 1e21), F.regexp_replace(plain, r"\.?0*$", ""))
+        .when(size < float("inf"), powers)
+    )
+
+
 def gauge_text(value: Column) -> Column:
     """Shortest decimal text that reads back as the same double.
 
@@ -56,13 +91,7 @@ def gauge_text(value: Column) -> Column:
     the JVM may pick a neighbouring last digit; it still reads back the same.
     """
     size, text = F.abs(value), value.cast("string")
-    # Fewest of 15, 16 or 17 digits that suffice: older JVMs print surplus ones, and
-    # round from those, so 16 digits are tried rounded and cut off.
-    fifteen, sixteen, seventeen = (
-        F.format_string(f"%.{digits - 1}e", value) for digits in (15, 16, 17)
-    )
-    tries = [fifteen, sixteen, F.regexp_replace(seventeen, "[0-9]e", "e"), seventeen]
-    shortest = F.coalesce(*[F.when(t.try_cast("double") == value, t) for t in tries])
+    shortest = _shortest(value)
     is_short = (size >= 1e-3) & (size < 1e6) & (F.length(text) <= 16)
     plain = shortest.cast("decimal(38,21)").cast("string")
     return (

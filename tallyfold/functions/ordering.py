@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.schema import MAX_BATCH_ROWS
+from tallyfold.schema import BATCH_STRIDE, SEQ
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def seq_of(batch_id: Column, pos: Column) -> Column:
-    """One BIGINT that sorts like ``(batch_id, pos)``.
+    """One DECIMAL(38,0) that sorts like ``(batch_id, pos)``, for any BIGINT and array.
 
-    A BIGINT ordering key keeps ``max_by`` in the hash aggregate; a struct key
-    would force sorting. A batch too long for the packing fails the job.
+    A number as ordering key keeps ``max_by`` in the hash aggregate; a struct key
+    would force sorting.
     """
-    return F.when(
-        (pos >= 0) & (pos < MAX_BATCH_ROWS), batch_id * F.lit(MAX_BATCH_ROWS) + pos
-    ).otherwise(F.raise_error(F.lit(f"a batch holds more than {MAX_BATCH_ROWS} updates")))
+    wide = batch_id.cast("decimal(20,0)") * F.lit(Decimal(BATCH_STRIDE)) + pos
+    return wide.cast(SEQ)
 
 
 def _is_ntz(df: DataFrame, name: str) -> bool:
@@ -39,15 +40,3 @@ def unix_seconds(df: DataFrame, name: str) -> Column:
     if _is_ntz(df, name):
         return F.floor(_zoneless_seconds(name)).cast("bigint")
     return F.unix_seconds(F.col(name))
-
-
-def as_instant(df: DataFrame, name: str) -> Column:
-    """The column as TIMESTAMP, which watermarks need; a zone-less time is taken as UTC."""
-    if _is_ntz(df, name):
-        return F.timestamp_micros((_zoneless_seconds(name) * 1_000_000).cast("bigint"))
-    return F.col(name)
-
-
-def as_zoneless(instant: Column) -> Column:
-    """The inverse of :func:`as_instant`."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))

@@ -5,21 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyfold.functions.numbers import json_number
 
-def wire_struct(
+
+def _json_text(text: Column) -> Column:
+    """A JSON string; NULL counts as empty, and what HTML minds is escaped."""
+    listed = F.to_json(F.array(F.coalesce(text, F.lit(""))))
+    quoted = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    for char in "<>&\u2028\u2029":
+        quoted = F.replace(quoted, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
+    return quoted
+
+
+def update_json(
     name: Column, metric_type: Column, delta: Column, value: Column, hash_: Column | None = None
 ) -> Column:
-    """The wire record; an empty hash counts as absent."""
+    """One update as JSON, leaving out ``delta``, ``value`` and ``hash`` when absent.
+
+    An empty hash counts as absent. A value that JSON has not gives NULL.
+    """
     hash_ = F.lit(None).cast("string") if hash_ is None else F.nullif(hash_, F.lit(""))
-    return F.struct(
-        name.alias("id"),
-        metric_type.alias("type"),
-        delta.alias("delta"),
-        value.alias("value"),
-        hash_.alias("hash"),
+
+    def member(key: str, present: Column, text: Column) -> Column:
+        return F.when(present.isNull(), "").otherwise(F.concat(F.lit(f',"{key}":'), text))
+
+    return F.concat(
+        F.lit('{"id":'),
+        _json_text(name),
+        F.lit(',"type":'),
+        _json_text(metric_type),
+        member("delta", delta, delta.cast("string")),
+        member("value", value, json_number(value)),
+        member("hash", hash_, _json_text(hash_)),
+        F.lit("}"),
     )
 
 
-def update_json(*args: Column | None) -> Column:
-    """One update as JSON, leaving out ``delta``, ``value`` and ``hash`` when absent."""
-    return F.to_json(wire_struct(*args))
+def json_list(records: Column) -> Column:
+    """A JSON array of record texts; NULL if one of them is."""
+    whole = F.concat(F.lit("["), F.array_join(records, ","), F.lit("]"))
+    return F.when(~F.exists(records, lambda r: r.isNull()), whole)

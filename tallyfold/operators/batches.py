@@ -6,33 +6,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.digest import body_digest
-from tallyfold.functions.render import wire_struct
+from tallyfold.functions.render import json_list, update_json
 from tallyfold.schema import OUTGOING_BATCH_SIZE, UNKNOWN_CLIENT
+from tallyfold.session import staged
 
 
 def chunk_updates(
-    updates: DataFrame, size: int = OUTGOING_BATCH_SIZE, slice_batches: int = 4096
+    updates: DataFrame, size: int = OUTGOING_BATCH_SIZE, group_rows: int = 1_000_000
 ) -> DataFrame:
     """Adds ``chunk``: the running position per client, in groups of ``size``.
 
-    Numbering a client's rows in one window would put a hot client into one task.
-    Arrival order is cut into slices of ``slice_batches`` batches instead: rows
-    are numbered within ``(client, slice)``, and the rows in a client's earlier
-    slices are added, which takes a window over one count per slice.
+    Numbering a client's rows in one window would put a hot client into one task. Rows are
+    dealt into ranges of (client, seq) of about ``group_rows`` rows instead, kept in files
+    so that the ranges stand; they are numbered within their range, and the rows of the
+    client in earlier ranges are added, which takes a window over one count per range.
     """
-    sliced = updates.withColumn(
-        "client", F.coalesce("client", F.lit(UNKNOWN_CLIENT))
-    ).withColumn("_slice", F.expr(f"batch_id div {slice_batches}"))
-    counts = sliced.groupBy("client", "_slice").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy("client").orderBy("_slice").rowsBetween(
+    named = updates.withColumn("client", F.coalesce("client", F.lit(UNKNOWN_CLIENT)))
+    ranges = max(1, -(-named.count() // group_rows))
+    dealt = named.repartitionByRange(ranges, "client", "seq") if ranges > 1 else named.coalesce(1)
+    placed = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = placed.groupBy("client", "_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("client").orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = counts.select(
-        "client", "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+        "client", "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy("client", "_slice").orderBy("seq")
-    numbered = sliced.withColumn("_row", F.row_number().over(within))
-    return numbered.join(offsets, ["client", "_slice"]).select(
+    within = Window.partitionBy("client", "_range").orderBy("seq")
+    numbered = placed.withColumn("_row", F.row_number().over(within))
+    return numbered.join(offsets, ["client", "_range"]).select(
         *updates.columns,
         F.expr(f"(_before + _row - 1) div {size}").alias("chunk"),
     )
@@ -41,9 +43,10 @@ def chunk_updates(
 def pack_batches(chunked: DataFrame, key: str = "") -> DataFrame:
     """One body per chunk: a JSON array in arrival order, and its digest.
 
-    A chunk holds at most the chosen number of rows, so each list is small.
+    A chunk holds at most the chosen number of rows, so each list is small. A chunk with
+    a value that JSON has not gets no body.
     """
-    record = wire_struct(F.col("name"), F.col("metric_type"), F.col("delta"), F.col("value"))
+    record = update_json(F.col("name"), F.col("metric_type"), F.col("delta"), F.col("value"))
     packed = chunked.groupBy("client", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("seq", record.alias("update")))).alias("rows")
     )
@@ -51,7 +54,7 @@ def pack_batches(chunked: DataFrame, key: str = "") -> DataFrame:
         "client",
         "chunk",
         F.size("rows").cast("bigint").alias("updates"),
-        F.to_json(F.transform("rows", lambda row: row["update"])).alias("body"),
+        json_list(F.transform("rows", lambda row: row["update"])).alias("body"),
     )
     digest = body_digest(F.col("body"), key) if key else F.lit(None).cast("string")
     return bodies.withColumn("digest", digest)

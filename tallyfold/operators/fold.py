@@ -7,11 +7,14 @@ task as one partial row.
 
 from __future__ import annotations
 
+import functools
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import exact_sum, wrap_int64
-from tallyfold.schema import COUNTER, GAUGE, STATE, STATE_KEY
+from tallyfold.schema import COUNTER, GAUGE, SEQ, STATE, STATE_KEY
 
 WRAP, NULL = "wrap", "null"
 
@@ -41,6 +44,7 @@ def fold_updates(updates: DataFrame, overflow: str = WRAP) -> DataFrame:
         F.max_by(_value(), "seq").alias("gauge_value"),
         _counter_total(_delta(), overflow).alias("counter_value"),
         F.min("ts").alias("first_seen"),
+        F.max(F.when(F.col("metric_type") == GAUGE, F.col("seq"))).alias("gauge_seq"),
     )
     return folded.select(*STATE.fieldNames())
 
@@ -65,20 +69,24 @@ def first_seen(updates: DataFrame) -> DataFrame:
     return updates.groupBy(*STATE_KEY).agg(F.min("ts").alias("first_seen"))
 
 
-def merge_states(older: DataFrame, newer: DataFrame, overflow: str = WRAP) -> DataFrame:
-    """One state out of two: counters add, the newer gauge wins, first-seen stays.
+def merge_states(*states: DataFrame, overflow: str = WRAP) -> DataFrame:
+    """One state out of several: counters add, the gauge that arrived last wins,
+    first-seen stays.
 
-    Both sides hold one row per key, so this is a union and one aggregation
-    rather than an outer join, and merging is associative.
+    Every side holds one row per key, so this is a union and one aggregation rather
+    than joins. Arrival order decides, not the order of arguments; only gauges without
+    one, or with the same, are taken from the later argument.
     """
-    columns = STATE.fieldNames()
-    both = older.select(*columns, F.lit(0).alias("_age")).unionByName(
-        newer.select(*columns, F.lit(1).alias("_age"))
-    )
+    columns, n = STATE.fieldNames(), F.lit(Decimal(len(states)))
+    aged = [s.select(*columns, F.lit(i).alias("_age")) for i, s in enumerate(states)]
+    both = functools.reduce(DataFrame.unionByName, aged)
+    order = F.coalesce("gauge_seq", F.lit(Decimal(-1))) * n + F.col("_age")
+    held = F.when(F.col("metric_type") == GAUGE, order.cast(SEQ))
     merged = both.groupBy(*STATE_KEY).agg(
-        F.max_by("gauge_value", "_age").alias("gauge_value"),
+        F.max_by("gauge_value", held).alias("gauge_value"),
         _counter_total(F.col("counter_value"), overflow).alias("counter_value"),
         F.min("first_seen").alias("first_seen"),
+        F.max("gauge_seq").alias("gauge_seq"),
     )
     return merged.select(*columns)
 
@@ -86,22 +94,18 @@ def merge_states(older: DataFrame, newer: DataFrame, overflow: str = WRAP) -> Da
 def latest_per_name(updates: DataFrame, *keys: str) -> DataFrame:
     """Newest record per name, whatever its type; optionally per further keys.
 
-    The two types travel as a boolean: text in the buffer would force sorting.
+    Records are thinned to the newest per type first, with fixed-width buffers; the
+    type as text is compared only among those few.
     """
-    newest = updates.groupBy(*keys, "name").agg(
-        F.max_by(F.col("metric_type") == GAUGE, "seq").alias("_is_gauge"),
+    by_type = updates.groupBy(*keys, "name", "metric_type").agg(
         F.max_by("delta", "seq").alias("delta"),
         F.max_by("value", "seq").alias("value"),
         F.max("seq").alias("seq"),
     )
-    return newest.select(
-        *keys,
-        "name",
-        F.when(F.col("_is_gauge"), GAUGE).otherwise(COUNTER).alias("metric_type"),
-        "delta",
-        "value",
-        "seq",
+    newest = by_type.groupBy(*keys, "name").agg(
+        F.max_by(F.struct("metric_type", "delta", "value", "seq"), "seq").alias("_newest")
     )
+    return newest.select(*keys, "name", "_newest.*")
 
 
 def newest_rows(rows: DataFrame, key: str = "name", order: str = "seq") -> DataFrame:

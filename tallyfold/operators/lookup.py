@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.classes import is_known_type
 from tallyfold.functions.numbers import value_text
+from tallyfold.functions.render import update_json
 from tallyfold.schema import COUNTER, GAUGE, STATE_KEY
 
-HOT_KEYS = 1000
-
 
 def all_gauges(state: DataFrame) -> DataFrame:
     return state.where(F.col("metric_type") == GAUGE).select("name", "gauge_value")
@@ -25,62 +24,35 @@ def point_lookup(state: DataFrame, metric_type: str, name: str) -> DataFrame:
     return state.where((F.col("name") == name) & (F.col("metric_type") == metric_type))
 
 
-def answer_lookups(
-    requests: DataFrame,
-    state: DataFrame,
-    hot_rows: int | None = None,
-    salts: int = 64,
-) -> DataFrame:
-    """``requests(name, metric_type, ...)`` with value, text and ``http_status``.
-
-    A known key is 200, a missing one 404; an unknown type is 200 without value.
+def answer_lookups(requests: DataFrame, state: DataFrame, salts: int = 16) -> DataFrame:
+    """``requests(name, metric_type, ...)`` with value, text, JSON reply and ``http_status``.
 
-    Over stored state, adaptive execution splits a hot key by itself. Where the
-    state is computed in the same query it cannot; then pass ``hot_rows``: keys
-    asked for at least that often are spread over ``salts`` partitions. Only the
-    ``HOT_KEYS`` most frequent can be spread, which bounds the broadcast list; all
-    others take the plain route, so the result never depends on these numbers.
+    A known key is 200, a missing one 404; an unknown type is 200 without value, its
+    request echoed. Every key's requests are spread over ``salts`` partitions, and its one
+    state row is there in each, so a key of a third of all requests is no task of its own.
     """
-    wanted = requests
-    values = state.select(*STATE_KEY, "counter_value", "gauge_value", F.lit(True).alias("_found"))
-    keys = list(STATE_KEY)
-    if hot_rows is not None:
-        hot = (
-            requests.where(is_known_type(F.col("metric_type")))
-            .groupBy(*STATE_KEY)
-            .agg(F.count("*").alias("_asked"))
-            .where(F.col("_asked") >= hot_rows)
-            .orderBy(F.desc("_asked"), *STATE_KEY)
-            .limit(HOT_KEYS)
-            .select(*STATE_KEY, F.lit(True).alias("_hot"))
-        )
-        # Hashing the row, not drawing a number, lets a lost task be run again.
-        spread = F.pmod(F.xxhash64(*requests.columns), F.lit(salts)).cast("int")
-        wanted = wanted.join(F.broadcast(hot), STATE_KEY, "left").withColumn(
-            "_salt", F.when(F.col("_hot"), spread).otherwise(0)
-        )
-        values = values.join(F.broadcast(hot), STATE_KEY, "left").withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        keys.append("_salt")
-    values = values.drop("_hot")
-    answered = wanted.join(values, keys, "left")
+    # Hashing the row, not drawing a number, lets a lost task be run again.
+    spread = F.pmod(F.xxhash64(*requests.columns), F.lit(salts)).cast("int")
+    values = state.select(
+        *STATE_KEY,
+        "counter_value",
+        "gauge_value",
+        F.lit(True).alias("_found"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    answered = requests.withColumn("_salt", spread).join(values, [*STATE_KEY, "_salt"], "left")
     known = is_known_type(F.col("metric_type"))
     status = F.when(known & F.col("_found").isNull(), 404).otherwise(200)
-    text = F.when(
-        status == 200,
-        value_text(F.col("metric_type"), F.col("counter_value"), F.col("gauge_value")),
+    text = value_text(F.col("metric_type"), F.col("counter_value"), F.col("gauge_value"))
+    reply = update_json(
+        F.col("name"), F.col("metric_type"), F.col("counter_value"), F.col("gauge_value")
     )
     return answered.select(
         *requests.columns,
         "counter_value",
         "gauge_value",
-        text.alias("value_text"),
+        F.when(status == 200, text).alias("value_text"),
+        F.when(status == 200, reply).alias("reply"),
         status.alias("http_status"),
     )
 

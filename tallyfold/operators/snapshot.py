@@ -7,38 +7,47 @@ from pyspark.sql import functions as F
 
 from tallyfold.schema import COUNTER, GAUGE
 
-KEYS_PER_DOCUMENT = 100_000
-
 
 def _is_finite() -> Column:
     return ~F.isnan("gauge_value") & (F.abs("gauge_value") < float("inf"))
 
 
-def snapshot_documents(state: DataFrame, documents: int | None = None) -> DataFrame:
-    """``(counters, gauges, skipped_gauges)``, one row per document.
+def snapshot_documents(state: DataFrame) -> DataFrame:
+    """``(counters, gauges, skipped)``, one document per state row.
 
-    A document lives in one row, so large states are split by name into as many
-    as keep each near ``KEYS_PER_DOCUMENT`` keys; together they hold every key.
-    When ``documents`` is not given, a count of the state decides. JSON has no
-    NaN or infinity: such gauges stay in the state and are counted as skipped.
+    A document names one metric, so nothing is gathered and the layout does not depend
+    on the size; together the documents hold every key. JSON has no NaN or infinity and
+    no NULL key: such rows give an empty document with ``skipped`` 1.
     """
-    if documents is None:
-        documents = max(1, -(-state.count() // KEYS_PER_DOCUMENT))
-    is_counter, is_gauge = F.col("metric_type") == COUNTER, F.col("metric_type") == GAUGE
-    grouped = (
-        state.groupBy()
-        if documents == 1
-        else state.groupBy(F.pmod(F.xxhash64("name"), F.lit(documents)).alias("document"))
+    kept = F.col("name").isNotNull()
+    counter = kept & (F.col("metric_type") == COUNTER)
+    gauge = kept & (F.col("metric_type") == GAUGE) & F.coalesce(_is_finite(), F.lit(True))
+    known = F.col("metric_type").isin(COUNTER, GAUGE)
+    return state.where(known).select(
+        _entry(counter, "counter_value", "bigint").alias("counters"),
+        _entry(gauge, "gauge_value", "double").alias("gauges"),
+        F.when(counter | gauge, 0).otherwise(1).alias("skipped"),
+    )
+
+
+def _entry(condition: Column, value: str, kind: str) -> Column:
+    entry = F.map_from_arrays(F.array(F.coalesce("name", F.lit(""))), F.array(value))
+    return F.when(condition, entry).otherwise(F.create_map().cast(f"map<string, {kind}>"))
+
+
+def export_document(state: DataFrame) -> DataFrame:
+    """The whole state as the one document other tools read: an explicit choice, since a
+    document lives in one row and must fit one task."""
+    entries = snapshot_documents(state).select(
+        F.map_entries("counters").alias("c"), F.map_entries("gauges").alias("g"), "skipped"
     )
-    collected = grouped.agg(
-        F.collect_list(F.when(is_counter, F.struct("name", "counter_value"))).alias("counters"),
-        F.collect_list(
-            F.when(is_gauge & _is_finite(), F.struct("name", "gauge_value"))
-        ).alias("gauges"),
-        F.count_if(is_gauge & ~_is_finite()).alias("skipped_gauges"),
+    gathered = entries.agg(
+        F.flatten(F.collect_list("c")).alias("c"),
+        F.flatten(F.collect_list("g")).alias("g"),
+        F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"),
     )
-    return collected.select(
-        F.map_from_entries(F.array_sort("counters")).alias("counters"),
-        F.map_from_entries(F.array_sort("gauges")).alias("gauges"),
-        "skipped_gauges",
+    return gathered.select(
+        F.map_from_entries(F.array_sort("c")).alias("counters"),
+        F.map_from_entries(F.array_sort("g")).alias("gauges"),
+        "skipped",
     )

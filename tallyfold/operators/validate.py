@@ -1,7 +1,7 @@
 """Judging updates and batches.
 
 An update row is ``(seq, batch_id, pos, ts, client, form, name, metric_type,
-delta, value)``. A batch is at most ``MAX_BATCH_ROWS`` rows, so a group of one
+delta, value)``. A batch is one request body, so a group of one
 batch is bounded whatever the data.
 """
 

@@ -7,16 +7,17 @@ by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.classes import OK, is_known_type
+from tallyfold.functions.classes import OK, TABLE, is_known_type
 from tallyfold.functions.digest import body_digest, digest_matches
 from tallyfold.functions.identity import client_id
 from tallyfold.functions.numbers import gauge_text, parse_float64, parse_int64, value_text
-from tallyfold.functions.render import update_json, wire_struct
+from tallyfold.functions.render import json_list, update_json
 from tallyfold.operators import audit, batches, fold, lookup, report, snapshot, validate
 from tallyfold.plans.events import as_updates, every, read_events, stream_events, updates_of
 from tallyfold.plans.ingest import ingest_bodies
@@ -30,23 +31,37 @@ from tallyfold.sources.snapshot import snapshot_rows
 from tallyfold.sources.state_table import read_state
 from tallyfold.sources.updates import explode_batches, parse_batches, parse_paths, parse_updates
 from tallyfold.streaming.audit import run_audit
-from tallyfold.streaming.report import stream_polls_per_report, stream_report_windows
+from tallyfold.streaming.report import (
+    read_polls_per_report,
+    read_report_windows,
+    run_polls_per_report,
+    run_report_windows,
+)
 from tallyfold.streaming.state import run_snapshots, run_state_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = "key"
 HOUR = "1 hour"
-# Bulk lookups spread a key over several tasks from this many requests on.
-HOT_LOOKUPS = 5_000_000
-_FIRST_HALF = "ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'"
+# Halves that interleave in arrival order, and halves before and after a restart.
+_FIRST_HALF = "batch_id % 2 = 0"
+_BEFORE_RESTART = "coalesce(ts < TIMESTAMP_NTZ'2024-01-16 00:00:00', true)"
 
 QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query; ``seq`` fits a BIGINT here and is shown as one."""
+
+    @functools.wraps(function)
+    def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = function(spark, sf_dir)
+        if "gauge_seq" in rows.columns:
+            rows = rows.drop("gauge_seq")
+        return rows.withColumn("seq", F.col("seq").cast("bigint")) if "seq" in rows.columns else rows
+
+    QUERIES[function.__name__] = shown
+    return shown
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +73,9 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ok(updates: DataFrame) -> DataFrame:
-    return validate.quarantine(validate.classify(updates))[0].drop("update_class")
+    """Good rows, each taken as a request of its own, so no batch refuses them."""
+    single = updates.withColumn("form", F.lit("path"))
+    return validate.quarantine(validate.classify(single))[0].drop("update_class")
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -108,6 +125,12 @@ def latest_per_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.latest_per_name(_valid(spark, sf_dir))
 
 
+@query
+def latest_of_any_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows nobody has judged: other types are kept as they are."""
+    return fold.latest_per_name(updates_of(spark, sf_dir))
+
+
 @query
 def newest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.newest_rows(_valid(spark, sf_dir)).select(
@@ -143,7 +166,7 @@ def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(19), F.concat("name", F.lit("-none"))).otherwise(F.col("name")).alias("name"),
         "metric_type",
     )
-    return lookup.answer_lookups(requests, _state(spark, sf_dir), hot_rows=HOT_LOOKUPS)
+    return lookup.answer_lookups(requests, _state(spark, sf_dir))
 
 
 # --- judging -------------------------------------------------------------
@@ -210,10 +233,9 @@ def state_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def request_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the events as path requests, a third as JSON, all as batches."""
+    """A third of the events as path requests, the others as JSON, all as batches."""
     updates = updates_of(spark, sf_dir)
-    form = F.when(every(3), "path").when(every(3, 1), "json")
-    singles = updates.withColumn("form", form).where(F.col("form").isNotNull())
+    singles = updates.withColumn("form", F.when(every(3), "path").otherwise("json"))
     single = validate.single_outcomes(validate.classify(singles)).select(
         "form", "http_status", "applied"
     )
@@ -226,6 +248,12 @@ def request_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- requests as text ----------------------------------------------------
 
 
+def _other_case(body: Column) -> Column:
+    for key, written in (("id", "ID"), ("type", "Type"), ("delta", "DELTA"), ("value", "vALUE")):
+        body = F.replace(body, F.lit(f'"{key}":'), F.lit(f'"{written}":'))
+    return body
+
+
 def _json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON body per event, some broken."""
     body = update_json(*_record())
@@ -234,6 +262,9 @@ def _json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(every(37, 3), F.concat(body, F.lit(" x")))
         .when(every(41, 7), F.regexp_replace(body, '"id":"[^"]*"', '"id":5'))
         .when(every(43, 9), F.regexp_replace(body, "}$", ',"value":"1"}'))
+        .when(every(53, 2), F.concat(body, F.lit('],"x":[1')))
+        .when(every(59, 1), F.concat(body, F.lit('],"items":[{"id":"b","type":"counter","delta":7}')))
+        .when(every(5), _other_case(body))
         .otherwise(body)
     )
     return updates_of(spark, sf_dir).select("seq", broken.alias("body"))
@@ -251,18 +282,20 @@ def _batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("batch_id")
         .agg(
             F.array_sort(
-                F.collect_list(F.struct("pos", wire_struct(*_record()).alias("update")))
+                F.collect_list(F.struct("pos", update_json(*_record()).alias("update")))
             ).alias("rows"),
             F.max("ts").alias("ts"),
             F.min_by("client", "pos").alias("client"),
         )
-        .withColumn("body", F.to_json(F.transform("rows", lambda row: row["update"])))
+        .withColumn("body", json_list(F.transform("rows", lambda row: row["update"])))
     )
     batch = F.col("batch_id")
     body = (
         F.when(batch % 13 == 4, F.concat("body", F.lit("]")))
         .when(batch % 19 == 6, F.regexp_replace("body", "]$", ',{"id":"late","delta":1.5}]'))
         .when(batch % 29 == 8, F.lit("[]"))
+        .when(batch % 31 == 9, F.concat("body", F.lit('],"items":[[{"id":"b","type":"counter","delta":7}]')))
+        .when(batch % 7 == 3, _other_case(F.col("body")))
         .otherwise(F.col("body"))
     )
     signed = bodies.select("batch_id", "ts", "client", body.alias("body"))
@@ -434,8 +467,8 @@ def audit_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_work_dir(spark, "fanout")
     judged = validate.classify(as_updates(stream_events(spark, sf_dir)))
     sinks = [
-        lambda events: append_audit(events, f"{folder}/a"),
-        lambda events: append_audit(events, f"{folder}/b"),
+        lambda events, epoch: append_audit(events, f"{folder}/a", "stream", epoch),
+        lambda events, epoch: append_audit(events, f"{folder}/b", "stream", epoch),
     ]
     run_audit(audit.audit_single(judged), sinks, f"{folder}/checkpoint").awaitTermination()
     first = read_audit(spark, f"{folder}/a").withColumn("sink", F.lit("a"))
@@ -448,12 +481,12 @@ def audit_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts, the second one replayed, then a scan."""
+    """Four upserts of interleaved parts, not in order, one of them replayed; then a scan."""
     folder = new_work_dir(spark, "state")
-    earlier, later = _halves(spark, sf_dir)
-    upsert_state(fold.fold_updates(earlier), folder, "batch", 0)
-    for _ in range(2):
-        upsert_state(fold.fold_updates(later), folder, "batch", 1)
+    valid = _valid(spark, sf_dir)
+    for epoch, part in enumerate((1, 0, 3, 2)):
+        for _ in range(1 + (epoch == 2)):
+            upsert_state(fold.fold_updates(valid.where(f"batch_id % 4 = {part}")), folder, "batch", epoch)
     return read_state(spark, folder)
 
 
@@ -465,20 +498,24 @@ def stored_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.all_gauges(read_state(spark, folder))
 
 
+def _ingested(spark: SparkSession, sf_dir: str, **store: str) -> DataFrame:
+    folder = new_work_dir(spark, "ingest")
+    places = [f"{folder}/{part}" for part in ("state", "audit", "staging")]
+    ingest_bodies(_batch_requests(spark, sf_dir), *places, writer="batch", epoch=0, key=KEY, **store)
+    return read_state(spark, places[0]).drop("first_seen")
+
+
 @query
 def ingested_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole write path from signed bodies to stored state."""
-    folder = new_work_dir(spark, "ingest")
-    ingest_bodies(
-        _batch_requests(spark, sf_dir),
-        f"{folder}/state",
-        f"{folder}/audit",
-        f"{folder}/staging",
-        writer="batch",
-        epoch=0,
-        key=KEY,
-    )
-    return read_state(spark, f"{folder}/state").drop("first_seen")
+    """The whole write path from signed bodies to stored state; batches apply up to their
+    first bad update."""
+    return _ingested(spark, sf_dir)
+
+
+@query
+def ingested_table_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the table store, which refuses a batch with a bad update."""
+    return _ingested(spark, sf_dir, store=TABLE)
 
 
 @query
@@ -489,7 +526,7 @@ def snapshot_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def snapshot_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_work_dir(spark, "snapshot")
-    save_snapshot(_state(spark, sf_dir), folder, documents=2)
+    save_snapshot(_state(spark, sf_dir), folder)
     return load_snapshot(spark, folder).drop("first_seen")
 
 
@@ -532,8 +569,9 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot of the first half, then a stream of the second."""
     folder = new_work_dir(spark, "stream-resume")
-    save_snapshot(fold.fold_updates(_halves(spark, sf_dir)[0]), f"{folder}/snapshot")
-    later = _valid_stream(spark, sf_dir).where(f"not ({_FIRST_HALF})")
+    earlier = _valid(spark, sf_dir).where(_BEFORE_RESTART)
+    save_snapshot(fold.fold_updates(earlier), f"{folder}/snapshot")
+    later = _valid_stream(spark, sf_dir).where(f"not ({_BEFORE_RESTART})")
     run_state_table(
         later,
         f"{folder}/state",
@@ -544,20 +582,19 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, f"{folder}/state").drop("first_seen")
 
 
-def _appended(spark: SparkSession, windows: DataFrame, folder: str) -> DataFrame:
-    windows.writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", f"{folder}/checkpoint"
-    ).option("path", f"{folder}/windows").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(windows.schema).parquet(f"{folder}/windows")
-
-
 @query
 def stream_report_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = stream_report_windows(_valid_stream(spark, sf_dir), HOUR)
-    return _appended(spark, windows, new_work_dir(spark, "stream-report"))
+    folder = new_work_dir(spark, "stream-report")
+    run_report_windows(
+        _valid_stream(spark, sf_dir), f"{folder}/windows", f"{folder}/checkpoint", "stream", HOUR
+    ).awaitTermination()
+    return read_report_windows(spark, f"{folder}/windows")
 
 
 @query
 def stream_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = as_updates(stream_events(spark, sf_dir))
-    return _appended(spark, stream_polls_per_report(polls, HOUR), new_work_dir(spark, "stream-polls"))
+    folder = new_work_dir(spark, "stream-polls")
+    run_polls_per_report(
+        as_updates(stream_events(spark, sf_dir)), f"{folder}/polls", f"{folder}/checkpoint", "stream", HOUR
+    ).awaitTermination()
+    return read_polls_per_report(spark, f"{folder}/polls")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.ordering import seq_of
+from tallyfold.session import new_work_dir
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -20,9 +21,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # As a pattern, the path may name one file as well as a folder of files.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/event[s].parquet")
+def stream_events(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The events as a stream of ``files`` micro-batches, out of order: each holds every
+    so manieth batch of ten."""
+    folder = new_work_dir(spark, "event-files")
+    part = F.expr(f"event_id div 10 % {files}").alias("part")
+    dealt = read_events(spark, sf_dir).select("*", part).repartition(files, "part")
+    dealt.write.partitionBy("part").parquet(folder)
+    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+    return stream.parquet(f"{folder}/part=*")
 
 
 def as_updates(events: DataFrame) -> DataFrame:

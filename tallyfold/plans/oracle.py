@@ -6,7 +6,7 @@ from __future__ import annotations
 _UPDATES = """
 with u as (
   select event_id as e,
-         cast(floor(event_id/10) as bigint)*1048576 + event_id%10 as seq,
+         cast(floor(event_id/10) as bigint)*2147483648 + event_id%10 as seq,
          cast(floor(event_id/10) as bigint) as batch_id,
          event_id%10 as pos,
          ts,
@@ -46,7 +46,7 @@ state as (
 j as (
   select *, '{"id":"' || name || '","type":"' || metric_type || '"'
             || case when delta is null then '' else ',"delta":' || cast(delta as varchar) end
-            || case when value is null then '' else ',"value":' || cast(value as varchar) end
+            || case when value is null then '' else ',"value":' || regexp_replace(cast(value as varchar), '\\.0$', '') end
             || '}' as body
   from c
 ),
@@ -56,8 +56,13 @@ bodies as (
               when batch_id%19=6 then '[' || string_agg(body, ',' order by pos)
                                       || ',{"id":"late","delta":1.5}]'
               when batch_id%29=8 then '[]'
+              when batch_id%31=9 then '[' || string_agg(body, ',' order by pos)
+                                      || ']],"items":[[{"id":"b","type":"counter","delta":7}]'
+              when batch_id%7=3 then replace(replace(replace(replace(
+                '[' || string_agg(body, ',' order by pos) || ']',
+                '"id":', '"ID":'), '"type":', '"Type":'), '"delta":', '"DELTA":'), '"value":', '"vALUE":')
               else '[' || string_agg(body, ',' order by pos) || ']' end as body,
-         (batch_id%13=4 or batch_id%19=6) as malformed,
+         (batch_id%13=4 or batch_id%19=6 or (batch_id%31=9 and batch_id%29<>8)) as malformed,
          (batch_id%29=8 and batch_id%13<>4 and batch_id%19<>6) as is_empty
   from j group by batch_id
 ),
@@ -114,7 +119,6 @@ _REPORTS = f"""
   ) where newest=1
 """
 _POLLS = f"select {_HOURLY} as window_start, client, count(*) as polls from u group by 1, 2"
-_CLOSED = "where window_start + interval '1 hour' <= (select max(ts) from {source}) - interval '1 hour'"
 _STATE_VALUES = "select name, metric_type, gauge_value, counter_value from state"
 _OUTGOING = """
   select client, chunk, count(*) as updates,
@@ -124,7 +128,19 @@ _OUTGOING = """
   group by client, chunk
 """
 
-_BROKEN_JSON = "e%31=5 or e%37=3 or e%41=7 or e%43=9"
+_BROKEN_JSON = "e%31=5 or e%37=3 or e%41=7 or e%43=9 or e%53=2 or e%59=1"
+
+_INGESTED = """
+        , applied as (
+          select c.* from c join judged on c.batch_id=judged.batch_id
+          where (http_status=200 {or_prefix}) and not is_empty and update_class='ok'
+        )
+        select name, metric_type,
+               max(case when metric_type='gauge' and newest=1 then value end) as gauge_value,
+               cast(sum(case when metric_type='counter' then delta end) as bigint) as counter_value
+        from (select *, row_number() over (partition by name, metric_type order by seq desc) as newest
+              from applied)
+        group by name, metric_type"""
 
 _SELECTS = {
     "metrics_state": "select * from state",
@@ -135,6 +151,9 @@ _SELECTS = {
     "latest_per_name": _NEWEST.format(
         columns="name, metric_type, delta, value, seq", window="", keys="name"
     ),
+    "latest_of_any_type": _NEWEST.format(
+        columns="name, metric_type, delta, value, seq", window="", keys="name"
+    ).replace("from v", "from u"),
     "newest_rows": _NEWEST.format(columns=_BARE_ROW, window="", keys="name"),
     "metrics_listing": f"""
         select case when metric_type='counter' then 1 else 2 end as section, name,
@@ -146,7 +165,14 @@ _SELECTS = {
         select name, gauge_value from state where metric_type='gauge' and name='click'""",
     "bulk_lookup": f"""
         select seq, name, metric_type, counter_value, gauge_value,
-               case when http_status=200 then {_VALUE_TEXT} end as value_text, http_status
+               case when http_status=200 then {_VALUE_TEXT} end as value_text,
+               case when http_status=200 then
+                 '{{"id":"' || name || '","type":"' || metric_type || '"'
+                 || case when counter_value is null then '' else ',"delta":' || counter_value end
+                 || case when gauge_value is null then ''
+                         else ',"value":' || regexp_replace(cast(gauge_value as varchar), '\\.0$', '') end
+                 || '}}' end as reply,
+               http_status
         from (
           select r.*, s.counter_value, s.gauge_value,
                  case when r.metric_type<>'histogram' and s.name is null then 404 else 200 end
@@ -212,7 +238,7 @@ _SELECTS = {
           union all
           select 'json', case when update_class='ok' and metric_type='counter' then 200 else 500 end,
                  update_class='ok'
-          from c where e%3=1
+          from c where e%3<>0
           union all
           select 'batch', case when count(*) filter (where update_class like 'null%')>0
                                then 500 else 200 end,
@@ -309,17 +335,8 @@ _SELECTS = {
         cross join (select 'a' as sink union all select 'b') s""",
     "state_upsert": "select * from state",
     "stored_gauges": "select name, gauge_value from state where metric_type='gauge'",
-    "ingested_state": """
-        , applied as (
-          select c.* from c join judged on c.batch_id=judged.batch_id
-          where http_status=200 and not is_empty and update_class='ok'
-        )
-        select name, metric_type,
-               max(case when metric_type='gauge' and newest=1 then value end) as gauge_value,
-               cast(sum(case when metric_type='counter' then delta end) as bigint) as counter_value
-        from (select *, row_number() over (partition by name, metric_type order by seq desc) as newest
-              from applied)
-        group by name, metric_type""",
+    "ingested_state": _INGESTED.format(or_prefix="or http_status=500 and pos<first_bad"),
+    "ingested_table_state": _INGESTED.format(or_prefix=""),
     "snapshot_maps": _STATE_VALUES,
     "snapshot_file": _STATE_VALUES,
     "report_window": _REPORTS,
@@ -327,8 +344,8 @@ _SELECTS = {
     "stream_state": "select * from state",
     "stream_snapshot": _STATE_VALUES,
     "stream_resume": _STATE_VALUES,
-    "stream_report_window": f"select * from ({_REPORTS}) " + _CLOSED.format(source="v"),
-    "stream_polls": f"select * from ({_POLLS}) " + _CLOSED.format(source="u"),
+    "stream_report_window": _REPORTS,
+    "stream_polls": _POLLS,
 }
 
 ORACLE_SQL = {name: _UPDATES + select for name, select in _SELECTS.items()}

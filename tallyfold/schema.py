@@ -15,9 +15,9 @@ STORE_INTERVAL_SECONDS = 300
 OUTGOING_BATCH_SIZE = 100
 UNKNOWN_CLIENT = "unknown"
 
-# A batch is one request body. ``seq`` packs (batch_id, pos) into one BIGINT,
-# so no batch may hold more rows than this; it also bounds every per-batch group.
-MAX_BATCH_ROWS = 1 << 20
+# A batch is one request body, an array of at most 2^31 - 1 elements.
+BATCH_STRIDE = 1 << 31
+SEQ = T.DecimalType(38, 0)
 
 WIRE_UPDATE = T.StructType(
     [
@@ -36,6 +36,8 @@ STATE = T.StructType(
         T.StructField("gauge_value", T.DoubleType()),
         T.StructField("counter_value", T.LongType()),
         T.StructField("first_seen", T.TimestampNTZType()),
+        # Arrival order of the gauge's update; NULL after a restore, older than any.
+        T.StructField("gauge_seq", SEQ),
     ]
 )
 STATE_KEY = ["name", "metric_type"]

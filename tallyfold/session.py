@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -31,15 +30,18 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    A temporary folder is used only when the setting is absent and the session
-    runs in one local process.
+    Without ``spark.checkpoint.dir`` it lies in the warehouse, which is shared too.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tallyfold-")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/tallyfold-work").rstrip("/")
+
+
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` written below the shared folder and read back, so it is worked out once."""
+    spark = frame.sparkSession
+    folder = new_work_dir(spark, label)
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:

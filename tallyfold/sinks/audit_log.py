@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,18 +9,18 @@ from pyspark.sql import functions as F
 
 from tallyfold.schema import AUDIT_EVENT
 
-Sink = Callable[[DataFrame], None]
+Sink = Callable[[DataFrame, int], None]
 
-_log = logging.getLogger(__name__)
 
-
-def append_audit(events: DataFrame, path: str) -> None:
-    """One event per line, appended."""
-    events.select(*AUDIT_EVENT.fieldNames()).write.mode("append").json(path)
+def append_audit(events: DataFrame, path: str, writer: str = "batch", epoch: int = 0) -> None:
+    """One event per line, in a folder of this writer and epoch: a replay replaces it."""
+    folder = f"{path}/epoch={writer}-{epoch}"
+    events.select(*AUDIT_EVENT.fieldNames()).write.mode("overwrite").json(folder)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_EVENT).json(path)
+    """Events of all epochs."""
+    return spark.read.schema(AUDIT_EVENT).json(path).select(*AUDIT_EVENT.fieldNames())
 
 
 def read_indented_audit(spark: SparkSession, path: str) -> DataFrame:
@@ -38,18 +37,21 @@ def read_indented_audit(spark: SparkSession, path: str) -> DataFrame:
 def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that hands every event to every sink.
 
-    A failing sink is logged and does not keep events from the others.
+    A failing sink does not keep events from the others; once all were tried the epoch
+    fails, so it is replayed, and a sink that replaces its epoch loses and repeats nothing.
     """
 
     def deliver(events: DataFrame, epoch: int) -> None:
-        kept = events.persist()
+        kept, failed = events.persist(), []
         try:
             for sink in sinks:
                 try:
-                    sink(kept)
-                except Exception:
-                    _log.exception("audit sink failed in epoch %s", epoch)
+                    sink(kept, epoch)
+                except Exception as error:
+                    failed.append(error)
         finally:
             kept.unpersist()
+        if failed:
+            raise ExceptionGroup(f"audit sinks failed in epoch {epoch}", failed)
 
     return deliver

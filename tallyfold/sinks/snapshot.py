@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.operators.snapshot import snapshot_documents
+from tallyfold.operators.snapshot import export_document, snapshot_documents
 from tallyfold.sinks.versions import Version, commit_version, current_version
 from tallyfold.sources.snapshot import read_snapshot
 
 
 def save_snapshot(
-    state: DataFrame,
-    path: str,
-    writer: str = "snapshot",
-    epoch: int = 0,
-    documents: int | None = None,
+    state: DataFrame, path: str, writer: str = "snapshot", epoch: int = 0, single: bool = False
 ) -> Version:
     """Replace the snapshot at ``path`` by the whole of ``state``.
 
-    Readers keep the former snapshot until the new one is complete. One line is
-    one document; small states are a single document.
+    Readers keep the former snapshot until the new one is complete. One line is one
+    document of one key; ``single`` writes one document of all keys instead, which
+    must fit one task.
     """
     spark = state.sparkSession
-    lines = snapshot_documents(state, documents).select(
-        F.to_json(F.struct("counters", "gauges")).alias("value")
-    )
+    documents = export_document(state) if single else snapshot_documents(state).where("skipped = 0")
+    lines = documents.select(F.to_json(F.struct("counters", "gauges")).alias("value"))
 
     def write(folder: str) -> None:
         lines.write.mode("overwrite").text(folder)
@@ -36,4 +32,4 @@ def save_snapshot(
 def load_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     """State rows of the committed snapshot, or None when there is none."""
     version = current_version(spark, path)
-    return None if version is None else read_snapshot(spark, version.folder)
+    return None if version is None else read_snapshot(spark, version.locations()[0])

@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallyfold.operators.fold import merge_states
 from tallyfold.schema import STATE
-from tallyfold.sinks.versions import Version, commit_version, current_version
-from tallyfold.sources.state_table import read_version
+from tallyfold.sinks.versions import Version, add_part
+from tallyfold.sources.state_table import bucket_of, read_version
 
 
 def upsert_state(newer: DataFrame, path: str, writer: str, epoch: int) -> Version:
-    """Counters add, gauges replace, first-seen times stay.
+    """Counters add, the gauge that arrived last stays, first-seen times stay.
 
-    Calling it again with the same ``(writer, epoch)`` changes nothing.
+    Only the keys of ``newer`` are written. Calling it again with the same
+    ``(writer, epoch)`` changes nothing.
     """
-    spark = newer.sparkSession
-    current = current_version(spark, path)
-    if current is not None and current.covers(writer, epoch):
-        return current
-    merged = newer if current is None else merge_states(read_version(spark, current), newer)
-    rows = merged.select(*STATE.fieldNames()).sortWithinPartitions("metric_type", "name")
-
-    def write(folder: str) -> None:
-        rows.write.mode("overwrite").partitionBy("metric_type").parquet(folder)
-
-    return commit_version(spark, path, current, write, writer, epoch)
+    return add_part(newer, path, read_version, _save, writer, epoch)
+
+
+def _save(rows: DataFrame, folder: str) -> None:
+    """One file per type and bucket, sorted by name."""
+    placed = rows.select(*STATE.fieldNames(), bucket_of("name").alias("bucket"))
+    (
+        placed.repartition("metric_type", "bucket")
+        .sortWithinPartitions("metric_type", "bucket", "name")
+        .write.mode("overwrite")
+        .partitionBy("metric_type", "bucket")
+        .parquet(folder)
+    )
 
 
 def stage_state_jdbc(newer: DataFrame, url: str, staging_table: str, **options: str) -> None:

@@ -1,58 +1,71 @@
-"""Committed versions of a folder that is replaced as a whole.
+"""Committed versions of a folder.
 
-Parquet has no ``MERGE INTO``. Each version is written to its own folder and
-becomes current only when a row for it is appended to the commit log, so a job
-that dies half-way leaves the former version in place, and a replayed
-micro-batch is recognised by its ``(writer, epoch)``. Writers take turns on a path.
+A version is a list of data folders, and for each writer the last epoch it holds. It
+becomes current when its commit file is created, which fails if another writer created
+that number first: such a commit is refused, and its data is never read. A job that dies
+half-way leaves the former version in place; a replayed micro-batch is recognised by its
+``(writer, epoch)``. Each commit file is complete, so older ones are removed, and so are
+data folders that neither the current nor the former version names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 
-_COMMIT = "version bigint, writer string, epoch bigint"
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed since the version this one started from."""
 
 
 @dataclass(frozen=True)
 class Version:
     path: str
     number: int
+    folders: tuple[str, ...]
     epochs: dict[str, int] = field(default_factory=dict)
 
-    @property
-    def folder(self) -> str:
-        return version_folder(self.path, self.number)
-
     def covers(self, writer: str, epoch: int) -> bool:
         return self.epochs.get(writer, -1) >= epoch
 
+    def locations(self) -> list[str]:
+        return [f"{self.path}/data/{folder}" for folder in self.folders]
 
-def version_folder(path: str, number: int) -> str:
-    return f"{path}/data/v{number:012d}"
 
+def _file_system(spark: SparkSession, path: str):
+    """The store's own client, through Spark: listing, small files, exclusive creation."""
+    java_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return java_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), java_path
 
-def current_version(spark: SparkSession, path: str) -> Version | None:
-    """The newest committed version; reads the small commit log only."""
+
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    files, folder = _file_system(spark, f"{path}/commits")
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def _read(spark: SparkSession, path: str, number: int) -> Version:
+    files, file = _file_system(spark, f"{path}/commits/{number:012d}")
+    stream = files.open(file)
     try:
-        log = spark.read.schema(_COMMIT).json(f"{path}/commits")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    # One row per writer, of which a path has a handful.
-    writers = (
-        log.groupBy("writer")
-        .agg(F.max("version").alias("version"), F.max("epoch").alias("epoch"))
-        .collect()
-    )
-    if not writers:
-        return None
-    return Version(path, max(w.version for w in writers), {w.writer: w.epoch for w in writers})
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    held = json.loads(text)
+    return Version(path, number, tuple(held["folders"]), held["epochs"])
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The newest committed version: one listing and one small file."""
+    numbers = _commits(spark, path)
+    return _read(spark, path, numbers[-1]) if numbers else None
 
 
 def commit_version(
@@ -62,15 +75,68 @@ def commit_version(
     write: Callable[[str], None],
     writer: str,
     epoch: int,
+    keep: Sequence[str] = (),
 ) -> Version:
-    """Write the version after ``current`` with ``write(folder)`` and make it current."""
+    """Write a new data folder with ``write(folder)`` and make it current, together with
+    the folders ``keep`` of the version ``current``."""
     number = 0 if current is None else current.number + 1
-    write(version_folder(path, number))
-    row = spark.range(1).select(
-        F.lit(number).cast("bigint").alias("version"),
-        F.lit(writer).alias("writer"),
-        F.lit(epoch).cast("bigint").alias("epoch"),
-    )
-    row.write.mode("append").json(f"{path}/commits")
+    folder = f"{number:012d}-{writer}-{epoch}-{uuid.uuid4().hex[:8]}"
+    write(f"{path}/data/{folder}")
     epochs = {} if current is None else current.epochs
-    return Version(path, number, {**epochs, writer: epoch})
+    version = Version(path, number, (*keep, folder), {**epochs, writer: epoch})
+    files, file = _file_system(spark, f"{path}/commits/{number:012d}")
+    if number == 0:
+        files.mkdirs(file.getParent())
+    try:
+        stream = files.create(file, False)
+    except Py4JJavaError as error:
+        raise CommitConflict(f"{path} has moved on from version {number - 1}") from error
+    try:
+        content = json.dumps({"folders": version.folders, "epochs": version.epochs})
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    _sweep(spark, version, current)
+    return version
+
+
+def _sweep(spark: SparkSession, version: Version, former: Version | None) -> None:
+    """Remove what only versions before the former one name."""
+    for number in _commits(spark, version.path):
+        if number < version.number - 1:
+            old = _read(spark, version.path, number)
+            for folder in set(old.folders) - set(version.folders) - set(former.folders if former else ()):
+                files, place = _file_system(spark, f"{version.path}/data/{folder}")
+                files.delete(place, True)
+            files, file = _file_system(spark, f"{version.path}/commits/{number:012d}")
+            files.delete(file, False)
+
+
+# Data folders of a table before they are merged into one.
+MOST_PARTS = 8
+
+
+def add_part(
+    part: DataFrame,
+    path: str,
+    read: Callable[[SparkSession, Version], DataFrame],
+    save: Callable[[DataFrame, str], None],
+    writer: str,
+    epoch: int,
+) -> Version:
+    """Add ``part`` to a table whose parts are merged when it is read.
+
+    A commit writes its own rows only. When ``MOST_PARTS`` have gathered they are
+    replaced by what ``read`` makes of them, so each row is rewritten once in so many
+    commits. The same ``(writer, epoch)`` again changes nothing.
+    """
+    spark = part.sparkSession
+    current = current_version(spark, path)
+    if current is not None and current.covers(writer, epoch):
+        return current
+    kept = () if current is None else current.folders
+    version = commit_version(spark, path, current, lambda folder: save(part, folder), writer, epoch, kept)
+    if len(version.folders) > MOST_PARTS:
+        merged = read(spark, version)
+        version = commit_version(spark, path, version, lambda folder: save(merged, folder), writer, epoch)
+    return version

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.schema import COUNTER, GAUGE, SNAPSHOT
+from tallyfold.schema import COUNTER, GAUGE, SEQ, SNAPSHOT
 
 
 def read_snapshot(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
@@ -62,4 +62,5 @@ def snapshot_rows(documents: DataFrame) -> DataFrame:
         "gauge_value",
         "counter_value",
         F.lit(None).cast("timestamp_ntz").alias("first_seen"),
+        F.lit(None).cast(SEQ).alias("gauge_seq"),
     )

@@ -2,30 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyfold.schema import METRIC_TYPES, STATE
+from tallyfold.operators.fold import merge_states
+from tallyfold.schema import METRIC_TYPES, SEQ, STATE
 from tallyfold.sinks.versions import Version, current_version
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
+# Names are dealt over so many buckets by hash; part of the layout on disk.
+BUCKETS = 16
+
+
+def bucket_of(name: str | Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
+
+
+def read_state(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """The committed version of a state table; empty before the first commit.
 
-    ``metric_type`` is a partition column, so a filter on it skips folders, and
-    rows lie sorted by name, so a filter on ``name`` skips row groups.
+    ``metric_type`` is a partition column, so a filter on it skips folders. With
+    ``name``, only that name is read, from its bucket.
     """
     version = current_version(spark, path)
-    return spark.createDataFrame([], STATE) if version is None else read_version(spark, version)
+    return spark.createDataFrame([], STATE) if version is None else read_version(spark, version, name)
 
 
-def read_version(spark: SparkSession, version: Version) -> DataFrame:
-    return (
-        spark.read.schema(STATE)
-        .option("basePath", version.folder)
-        .parquet(version.folder)
-        .select(*STATE.fieldNames())
-    )
+def read_version(spark: SparkSession, version: Version, name: str | None = None) -> DataFrame:
+    """Parts of a version merged, the later committed ones last."""
+    schema = T.StructType([*STATE.fields, T.StructField("bucket", T.IntegerType())])
+    parts = []
+    for place in version.locations():
+        rows = spark.read.schema(schema).option("basePath", place).parquet(place)
+        if name is not None:
+            rows = rows.where((F.col("bucket") == bucket_of(F.lit(name))) & (F.col("name") == name))
+        parts.append(rows.select(*STATE.fieldNames()))
+    return parts[0] if len(parts) == 1 else merge_states(*parts)
 
 
 def read_state_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
@@ -42,4 +55,5 @@ def read_state_jdbc(spark: SparkSession, url: str, table: str, **options: str) -
         F.col("gauge_value").cast("double").alias("gauge_value"),
         F.col("counter_value").cast("bigint").alias("counter_value"),
         F.col("timestamp").cast("timestamp_ntz").alias("first_seen"),
+        F.lit(None).cast(SEQ).alias("gauge_seq"),
     )

@@ -23,15 +23,31 @@ _PARSE_OPTIONS = {
 }
 
 
-def _wrapped(body: Column, element: str) -> Column:
-    """Parse ``body`` as the only element of an array.
+_KEYS = "id|type|delta|value|hash"
+# A key in some other case; inside a string its quotes would be escaped.
+_OTHER_CASE = rf'(?<!\\)"(?!(?:{_KEYS})")(?i:{_KEYS})"\s*:'
+
+
+def _lower_keys(text: Column) -> Column:
+    """Keys match in any case: those of a record are put in lower case first."""
+    lowered = text
+    for key in _KEYS.split("|"):
+        lowered = F.regexp_replace(lowered, rf'(?<!\\)"(?i:{key})"(?=\s*:)', f'"{key}"')
+    return F.when(text.rlike(_OTHER_CASE), lowered).otherwise(text)
+
+
+def _with_text(requests: DataFrame, body: str) -> DataFrame:
+    """Adds ``_text``: the body as the only element of an array.
 
     The wrapping makes anything after the first JSON value an error, which a
     plain parse would skip.
     """
-    text = F.concat(F.lit('{"items":['), body, F.lit("]}"))
-    schema = f"items array<{element}>, _bad string"
-    return F.from_json(text, schema, _PARSE_OPTIONS)
+    inner = _lower_keys(F.coalesce(F.col(body), F.lit("")))
+    return requests.withColumn("_text", F.concat(F.lit('{"items":['), inner, F.lit("]}")))
+
+
+def _parsed(element: str) -> Column:
+    return F.from_json("_text", f"items array<{element}>, _bad string", _PARSE_OPTIONS)
 
 
 def _maybe_not_text(item: Column) -> Column:
@@ -93,6 +109,8 @@ def _malformed(found: Column, tagged: Column) -> Column:
 
     return (
         F.col("_json._bad").isNotNull()
+        # A body must not close the wrapping and go on behind it.
+        | F.coalesce(F.json_object_keys("_text") != F.array(F.lit("items")), F.lit(True))
         | F.coalesce(F.size("_json.items") != 1, F.lit(True))
         | has(float("inf"))
         | has(float("-inf"))
@@ -107,12 +125,11 @@ def parse_updates(requests: DataFrame, body: str = "body") -> DataFrame:
 
     A number in a text field, text in a number field, a fraction in ``delta``, a
     number out of range or anything after the value makes the body malformed.
-    Key names are matched in lower case.
+    Key names are matched in any case.
     """
-    text = F.coalesce(F.col(body), F.lit(""))
-    parsed = requests.withColumn("_json", _wrapped(text, _TYPED))
+    parsed = _with_text(requests, body).withColumn("_json", _parsed(_TYPED))
     found = F.col("_json.items")
-    malformed = _malformed(found, _wrapped(text, _TAGGED)["items"])
+    malformed = _malformed(found, _parsed(_TAGGED)["items"])
     judged = parsed.withColumn("malformed", malformed)
     item = F.get(found, 0)
     fields = [*_fields(item), F.coalesce(item["hash"], F.lit("")).alias("hash")]
@@ -125,10 +142,9 @@ def parse_batches(requests: DataFrame, body: str = "body") -> DataFrame:
 
     One mistyped element makes the entire body malformed; ``null`` is an empty list.
     """
-    text = F.coalesce(F.col(body), F.lit(""))
-    parsed = requests.withColumn("_json", _wrapped(text, f"array<{_TYPED}>"))
+    parsed = _with_text(requests, body).withColumn("_json", _parsed(f"array<{_TYPED}>"))
     found = F.get("_json.items", 0)
-    malformed = _malformed(found, F.get(_wrapped(text, f"array<{_TAGGED}>")["items"], 0))
+    malformed = _malformed(found, F.get(_parsed(f"array<{_TAGGED}>")["items"], 0))
     judged = parsed.withColumn("malformed", malformed)
     items = F.coalesce(found, F.array().cast(f"array<{_TYPED}>"))
     return _once(

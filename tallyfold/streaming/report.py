@@ -1,38 +1,70 @@
-"""Report windows over a stream of polls."""
+"""Report windows over a stream of polls.
+
+Each micro-batch is thinned to its own windows and added to a report table under its
+epoch; parts are merged when the table is read. There is no watermark: a poll counts
+however late it comes, a window can be read at any time, and a replay adds nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tallyfold.functions.ordering import as_instant, as_zoneless
+from tallyfold.operators.fold import latest_per_name
 from tallyfold.operators.report import polls_per_report, report_windows
 from tallyfold.schema import REPORT_INTERVAL
+from tallyfold.sinks.versions import Version, add_part, current_version
+
+
+def _parts(spark: SparkSession, version: Version) -> DataFrame:
+    return spark.read.parquet(*version.locations())
+
+
+def _merged_windows(spark: SparkSession, version: Version) -> DataFrame:
+    return latest_per_name(_parts(spark, version), "window_start", "client")
+
+
+def _merged_polls(spark: SparkSession, version: Version) -> DataFrame:
+    counts = _parts(spark, version).groupBy("window_start", "client")
+    return counts.agg(F.sum("polls").alias("polls"))
+
+
+def _save(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").parquet(folder)
+
+
+def _run(polls: DataFrame, thin, merged, path: str, checkpoint: str, writer: str) -> StreamingQuery:
+    def add(batch: DataFrame, epoch: int) -> None:
+        add_part(thin(batch), path, merged, _save, writer, epoch)
+
+    return (
+        polls.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
-def _with_watermark(polls: DataFrame, interval: str, delay: str | None) -> DataFrame:
-    # Watermarks need an instant; zone-less times are taken as UTC and given back so.
-    timed = polls.withColumn("ts", as_instant(polls, "ts"))
-    return timed.withWatermark("ts", delay or interval)
+def run_report_windows(
+    polls: DataFrame, path: str, checkpoint: str, writer: str, interval: str = REPORT_INTERVAL
+) -> StreamingQuery:
+    """Keep ``report_windows`` of all polls so far in the table at ``path``."""
+    return _run(polls, lambda b: report_windows(b, interval), _merged_windows, path, checkpoint, writer)
 
 
-def _like_input(polls: DataFrame, reports: DataFrame) -> DataFrame:
-    if polls.schema["ts"].dataType == reports.schema["window_start"].dataType:
-        return reports
-    return reports.withColumn("window_start", as_zoneless(F.col("window_start")))
+def run_polls_per_report(
+    polls: DataFrame, path: str, checkpoint: str, writer: str, interval: str = REPORT_INTERVAL
+) -> StreamingQuery:
+    """Keep ``polls_per_report`` of all polls so far in the table at ``path``."""
+    return _run(polls, lambda b: polls_per_report(b, interval), _merged_polls, path, checkpoint, writer)
 
 
-def stream_report_windows(
-    polls: DataFrame, interval: str = REPORT_INTERVAL, delay: str | None = None
-) -> DataFrame:
-    """``report_windows`` that closes a window one interval after its end."""
-    reports = report_windows(_with_watermark(polls, interval, delay), interval)
-    return _like_input(polls, reports)
+def read_report_windows(spark: SparkSession, path: str) -> DataFrame | None:
+    version = current_version(spark, path)
+    return None if version is None else _merged_windows(spark, version)
 
 
-def stream_polls_per_report(
-    polls: DataFrame, interval: str = REPORT_INTERVAL, delay: str | None = None
-) -> DataFrame:
-    """``polls_per_report`` that closes a window one interval after its end."""
-    reports = polls_per_report(_with_watermark(polls, interval, delay), interval)
-    return _like_input(polls, reports)
+def read_polls_per_report(spark: SparkSession, path: str) -> DataFrame | None:
+    version = current_version(spark, path)
+    return None if version is None else _merged_polls(spark, version)

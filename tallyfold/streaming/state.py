@@ -66,13 +66,8 @@ def run_snapshots(
 
     def save(state: DataFrame, epoch: int) -> None:
         current = current_version(state.sparkSession, path)
-        if current is not None and current.covers(writer, epoch):
-            return
-        kept = state.persist()
-        try:
-            save_snapshot(kept, path, writer=writer, epoch=epoch)
-        finally:
-            kept.unpersist()
+        if current is None or not current.covers(writer, epoch):
+            save_snapshot(state, path, writer=writer, epoch=epoch)
 
     return (
         continuous_state(updates)

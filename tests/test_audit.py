@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators.audit import audit_batches, audit_bodies, audit_single
@@ -48,10 +49,10 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_log_appends(spark, tmp_path):
+def test_log_holds_each_epoch_once(spark, tmp_path):
     events = audit_single(classify(one_by_one(spark, [("a", "counter", 1, None)])))
-    for _ in range(2):
-        append_audit(events, str(tmp_path / "log"))
+    for epoch in (0, 1, 1):
+        append_audit(events, str(tmp_path / "log"), "w", epoch)
     assert [tuple(r) for r in read_audit(spark, str(tmp_path / "log")).collect()] == [(SECONDS, ["a"], "10.0.0.0")] * 2
 
 
@@ -70,8 +71,12 @@ def test_fan_out_reaches_all_sinks(spark):
     events = audit_single(classify(one_by_one(spark, [("a", "counter", 1, None)])))
     seen = []
 
-    def broken(_):
+    def broken(rows, epoch):
         raise RuntimeError("down")
 
-    fan_out([lambda e: seen.append(e.count()), broken, lambda e: seen.append(e.count())])(events, 0)
-    assert seen == [1, 1]
+    def good(rows, epoch):
+        seen.append((rows.count(), epoch))
+
+    with pytest.raises(ExceptionGroup):
+        fan_out([good, broken, good])(events, 3)
+    assert seen == [(1, 3), (1, 3)]

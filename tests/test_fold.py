@@ -61,6 +61,17 @@ def test_merge(spark):
     assert seen["a"] == {r.name: r.first_seen for r in old.collect()}["a"]
 
 
+def test_a_key_of_any_batch_and_position(spark):
+    rows = [(2**44, 2**20 + 1, "g", "gauge", None, 2.0), (2**44, 5, "g", "gauge", None, 1.0), (2**62, 0, "h", "gauge", None, 3.0)]
+    assert values(fold.fold_updates(updates(spark, rows))) == {("g", "gauge"): 2.0, ("h", "gauge"): 3.0}
+
+
+def test_other_types_keep_their_name(spark):
+    frame = one_by_one(spark, [("a", "counter", 1, None), ("a", "histogram", None, 0.5), ("b", None, 3, None)])
+    latest = {r.name: (r.metric_type, r.delta, r.value) for r in fold.latest_per_name(frame).collect()}
+    assert latest == {"a": ("histogram", None, 0.5), "b": (None, 3, None)}
+
+
 def test_any_split_folds_to_the_same_state(spark):
     random.seed(11)
     rows = [

@@ -25,14 +25,22 @@ def test_lookup_statuses(spark):
     }
 
 
-def test_spreading_hot_keys_changes_nothing(spark):
+def test_replies_are_the_stored_record(spark):
+    requests = spark.createDataFrame(REQUESTS, "i int, name string, metric_type string")
+    got = {r.i: r.reply for r in lookup.answer_lookups(requests, some_state(spark)).collect()}
+    assert got[1] == '{"id":"PollCount","type":"counter","delta":1}'
+    assert got[2] is None
+    assert got[3] == '{"id":"CMD","type":"gauge","value":10.5}'
+    assert got[5] == '{"id":"CMD","type":"histogram"}'
+
+
+def test_salts_change_nothing(spark):
     rows = [(i, "PollCount", "counter") for i in range(300)] + [(300 + i, f"x{i}", "gauge") for i in range(30)]
     rows += [(400, "CMD", "gauge"), (401, "CMD", None)]
     requests = spark.createDataFrame(rows, "i int, name string, metric_type string")
-    plain = lookup.answer_lookups(requests, some_state(spark))
-    spread = lookup.answer_lookups(requests, some_state(spark), hot_rows=10, salts=8)
+    plain = lookup.answer_lookups(requests, some_state(spark), salts=1)
+    spread = lookup.answer_lookups(requests, some_state(spark), salts=8)
     assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
-    assert spread.columns == plain.columns
 
 
 def test_split_by_type_and_point(spark):

@@ -11,7 +11,8 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE_SQL) == set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

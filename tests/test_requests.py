@@ -110,7 +110,7 @@ def test_exploded_batches_keep_array_order(spark):
     rows = spark.createDataFrame([(3, T0, "c", body), (4, T0, "c", "[]")], "batch_id bigint, ts timestamp_ntz, client string, body string")
     got = explode_batches(parse_batches(rows)).orderBy("seq").collect()
     assert [(r.seq, r.batch_id, r.pos, r.name) for r in got] == [
-        (3 * 2**20, 3, 0, "b"), (3 * 2**20 + 1, 3, 1, "a"),
+        (3 * 2**31, 3, 0, "b"), (3 * 2**31 + 1, 3, 1, "a"),
     ]
 
 
@@ -139,3 +139,39 @@ def test_other_routes_are_not_found(spark):
     rows = spark.createDataFrame([("/update/gauge/a",), ("/update/gauge/a/1/2",), ("/",), (None,)], "path string")
     judged = single_outcomes(classify(parse_paths(rows).withColumn("form", F.lit("path"))))
     assert {(r.malformed, r.http_status, r.applied) for r in judged.collect()} == {(True, 404, False)}
+
+
+def test_bodies_cannot_leave_their_wrapping(spark):
+    item = '{"id":"a","type":"counter","delta":1}'
+    singles = [item + '],"x":[1', item + '],"items":[{"id":"b","type":"counter","delta":7}', item + "]", item + ',{}']
+    rows = spark.createDataFrame([(b,) for b in singles], "body string")
+    assert all(r.malformed for r in parse_updates(rows).collect())
+    lists = [f"[{item}]],\"items\":[[{item}]", f"[{item}],[{item}]", f'[{item}]],"x":[[]']
+    rows = spark.createDataFrame([(b,) for b in lists], "body string")
+    assert all(r.malformed for r in parse_batches(rows).collect())
+
+
+def test_keys_match_in_any_case(spark):
+    bodies = {
+        '{"ID":"a","Type":"counter","Delta":1}': ("a", "counter", 1, None),
+        '{"Id":"ID","TYPE":"gauge","vAlUe" : 2.5}': ("ID", "gauge", None, 2.5),
+        '{"id":"x\\"ID\\":1","type":"counter","DELTA":3}': ('x"ID":1', "counter", 3, None),
+        '{"id":"a","ID":"b","type":"counter","delta":4}': ("b", "counter", 4, None),
+    }
+    rows = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = {r.body: (r.name, r.metric_type, r.delta, r.value) for r in parse_updates(rows).collect()}
+    assert got == bodies
+    listed = spark.createDataFrame([(0, T0, "c", f"[{', '.join(bodies)}]")], "batch_id long, ts timestamp_ntz, client string, body string")
+    rows = explode_batches(parse_batches(listed)).orderBy("pos").collect()
+    assert [(r.name, r.metric_type, r.delta, r.value) for r in rows] == list(bodies.values())
+
+
+def test_a_body_of_more_than_a_million_updates(spark):
+    many = spark.range(1).selectExpr(
+        "0L as batch_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "'c' as client",
+        "concat('[', array_join(transform(sequence(0, 1048577), i -> '{\"id\":\"a\"}'), ','), ']') as body",
+    )
+    from pyspark.sql import functions as F
+
+    row = explode_batches(parse_batches(many)).agg(F.count("*").alias("n"), F.max("pos").alias("last"), F.max("seq").alias("seq")).first()
+    assert (row["n"], row["last"], int(row["seq"])) == (1048578, 1048577, 1048577)

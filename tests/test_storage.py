@@ -1,16 +1,19 @@
 import json
 import math
+from pathlib import Path
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from tallyfold.operators.lookup import all_gauges, point_lookup
-from tallyfold.operators.snapshot import snapshot_documents
+from tallyfold.operators.snapshot import export_document, snapshot_documents
 from tallyfold.plans.ingest import ingest_bodies
 from tallyfold.sinks.audit_log import read_audit
 from tallyfold.sinks.files import write_bodies
 from tallyfold.sinks.snapshot import load_snapshot, save_snapshot
 from tallyfold.sinks.state_table import upsert_state
-from tallyfold.sinks.versions import current_version, version_folder
+from tallyfold.sinks.versions import MOST_PARTS, CommitConflict, commit_version, current_version
 from tallyfold.sources.files import REQUEST, read_bodies, read_requests
 from tallyfold.sources.snapshot import read_snapshot
 from tallyfold.sources.state_table import read_state
@@ -20,8 +23,8 @@ from tests.helpers import T0, state, values
 def test_upsert_is_idempotent_per_epoch(spark, tmp_path):
     path = str(tmp_path / "state")
     assert read_state(spark, path).count() == 0
-    first = state(spark, [("a", "counter", None, 5), ("g", "gauge", 1.0, None)])
-    second = state(spark, [("a", "counter", None, 3), ("g", "gauge", 2.0, None)])
+    first = state(spark, [("a", "counter", None, 5), ("g", "gauge", 1.0, None, 1)])
+    second = state(spark, [("a", "counter", None, 3), ("g", "gauge", 2.0, None, 2)])
     upsert_state(first, path, "w", 0)
     for _ in range(3):
         upsert_state(second, path, "w", 1)
@@ -35,15 +38,59 @@ def test_upsert_is_idempotent_per_epoch(spark, tmp_path):
     assert values(read_state(spark, path))[("a", "counter")] == 11
 
 
+def test_the_gauge_that_arrived_last_stays_whatever_the_order(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for epoch, seq in enumerate((3, 1, 4, 2)):
+        upsert_state(state(spark, [("g", "gauge", float(seq), None, seq)]), path, "w", epoch)
+    assert values(read_state(spark, path)) == {("g", "gauge"): 4.0}
+
+
 def test_half_written_version_is_ignored(spark, tmp_path):
     path = str(tmp_path / "state")
     upsert_state(state(spark, [("a", "counter", None, 5)]), path, "w", 0)
-    state(spark, [("a", "counter", None, 99)]).write.partitionBy("metric_type").parquet(version_folder(path, 1))
+    state(spark, [("a", "counter", None, 99)]).write.partitionBy("metric_type").parquet(f"{path}/data/000000000001-w-1-x")
     assert values(read_state(spark, path)) == {("a", "counter"): 5}
     upsert_state(state(spark, [("a", "counter", None, 1)]), path, "w", 1)
     assert values(read_state(spark, path)) == {("a", "counter"): 6}
 
 
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in Path(path, "data").rglob("*.parquet")}
+
+
+def test_a_commit_writes_its_own_keys_only(spark, tmp_path):
+    path = str(tmp_path / "state")
+    upsert_state(state(spark, [(f"m{i}", "counter", None, i) for i in range(200)]), path, "w", 0)
+    before = files_of(path)
+    upsert_state(state(spark, [("m7", "counter", None, 1)]), path, "w", 1)
+    after = files_of(path)
+    assert {f: after[f] for f in before} == before and len(after) == len(before) + 1
+    plan = read_state(spark, path, name="m7")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(bucket#") == 2
+    assert values(read_state(spark, path, name="m7")) == {("m7", "counter"): 8}
+
+
+def test_parts_are_merged_and_old_ones_removed(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for epoch in range(2 * MOST_PARTS):
+        upsert_state(state(spark, [("a", "counter", None, 1), (f"m{epoch}", "counter", None, epoch)]), path, "w", epoch)
+    found = values(read_state(spark, path))
+    assert found[("a", "counter")] == 2 * MOST_PARTS and len(found) == 2 * MOST_PARTS + 1
+    assert len(list(Path(path, "data").iterdir())) <= 2 * MOST_PARTS
+    assert len([f for f in Path(path, "commits").iterdir() if f.name.isdigit()]) == 2
+    assert len(current_version(spark, path).folders) <= MOST_PARTS
+
+
+def test_a_commit_from_an_old_version_is_refused(spark, tmp_path):
+    path = str(tmp_path / "state")
+    upsert_state(state(spark, [("a", "counter", None, 5)]), path, "one", 0)
+    base = current_version(spark, path)
+    upsert_state(state(spark, [("a", "counter", None, 1)]), path, "one", 1)
+    with pytest.raises(CommitConflict):
+        commit_version(spark, path, base, lambda folder: None, "two", 0, base.folders)
+    assert values(read_state(spark, path)) == {("a", "counter"): 6}
+
+
 def test_stored_state_is_pruned_and_pushed_down(spark, tmp_path):
     path = str(tmp_path / "state")
     upsert_state(state(spark, [("a", "counter", None, 5), ("g", "gauge", 1.0, None)]), path, "w", 0)
@@ -56,32 +103,33 @@ def test_stored_state_is_pruned_and_pushed_down(spark, tmp_path):
 
 def test_snapshot_round_trip(spark, tmp_path):
     rows = [("a", "counter", None, 5), ("a", "gauge", 1.5, None), ("zero", "gauge", 0.0, None), ("big", "counter", None, 2**63 - 1)]
-    for documents in (None, 3):
-        path = str(tmp_path / f"snap{documents}")
+    for single in (False, True):
+        path = str(tmp_path / f"snap{single}")
         assert load_snapshot(spark, path) is None
         save_snapshot(state(spark, [("old", "gauge", 1.0, None)]), path)
-        save_snapshot(state(spark, rows), path, epoch=1, documents=documents)
+        save_snapshot(state(spark, rows), path, epoch=1, single=single)
         assert values(load_snapshot(spark, path)) == {(n, t): g if t == "gauge" else c for n, t, g, c in rows}
 
 
-def test_non_finite_gauges_are_left_out_and_counted(spark):
-    frame = state(spark, [("nan", "gauge", math.nan, None), ("inf", "gauge", math.inf, None), ("ok", "gauge", 1.0, None)])
-    row = snapshot_documents(frame).first()
-    assert (row.gauges, row.counters, row.skipped_gauges) == ({"ok": 1.0}, {}, 2)
+def test_what_json_has_not_is_left_out_and_counted(spark):
+    rows = [("nan", "gauge", math.nan, None), ("inf", "gauge", math.inf, None), ("ok", "gauge", 1.0, None), (None, "counter", None, 3)]
+    row = export_document(state(spark, rows)).first()
+    assert (row.gauges, row.counters, row.skipped) == ({"ok": 1.0}, {}, 3)
+    documents = snapshot_documents(state(spark, rows)).collect()
+    assert sum(d.skipped for d in documents) == 3 and len(documents) == 4
 
 
-def test_empty_state_is_an_empty_document(spark):
-    row = snapshot_documents(state(spark, [])).select(F.to_json(F.struct("counters", "gauges"))).first()
+def test_empty_state(spark, tmp_path):
+    row = export_document(state(spark, [])).select(F.to_json(F.struct("counters", "gauges"))).first()
     assert json.loads(row[0]) == {"counters": {}, "gauges": {}}
+    save_snapshot(state(spark, []), str(tmp_path / "s"))
+    assert load_snapshot(spark, str(tmp_path / "s")).count() == 0
 
 
-def test_documents_split_a_large_state_completely(spark):
-    big = spark.range(5000).select(
-        F.concat(F.lit("m"), "id").alias("name"), F.lit("counter").alias("metric_type"),
-        F.lit(None).cast("double").alias("gauge_value"), F.col("id").alias("counter_value"), F.lit(T0).alias("first_seen"),
-    )
-    sizes = [len(r.counters) for r in snapshot_documents(big, 10).collect()]
-    assert len(sizes) == 10 and sum(sizes) == 5000 and max(sizes) < 1000
+def test_documents_gather_nothing(spark):
+    frame = snapshot_documents(state(spark, [(f"m{i}", "counter", None, i) for i in range(50)]))
+    assert frame.count() == 50
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_foreign_snapshots(spark, tmp_path):
@@ -118,10 +166,12 @@ def test_write_path(spark, tmp_path):
     ]
     spark.createDataFrame(bodies, REQUEST).write.option("compression", "gzip").json(str(tmp_path / "in"))
     requests = read_requests(spark, str(tmp_path / "in"))
-    for on_invalid, total in (("reject_batch", 7), ("apply_prefix", 8)):
-        base = tmp_path / on_invalid
+    cases = ({"on_invalid": "reject_batch"}, 7), ({}, 8), ({"store": "table"}, 7), ({"on_invalid": "apply_prefix", "store": "table"}, 8)
+    for number, (options, total) in enumerate(cases):
+        base = tmp_path / str(number)
         paths = [str(base / p) for p in ("state", "audit", "staging")]
-        ingest_bodies(requests, *paths, writer="w", epoch=0, on_invalid=on_invalid)
+        for _ in range(2):  # a replay changes nothing
+            ingest_bodies(requests, *paths, writer="w", epoch=0, **options)
         assert values(read_state(spark, paths[0])) == {("a", "counter"): total, ("g", "gauge"): 1.5}
         assert sorted((r.metrics, r.ip_address) for r in read_audit(spark, paths[1]).collect()) == [
             ([], "c"), (["a", "g"], "c"), (["a", "h"], "unknown"),

@@ -1,7 +1,9 @@
 import datetime
+from decimal import Decimal
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators.audit import audit_bodies
@@ -15,7 +17,12 @@ from tallyfold.sources.files import REQUEST, stream_requests
 from tallyfold.sources.state_table import read_state
 from tallyfold.sources.updates import parse_batches
 from tallyfold.streaming.audit import run_audit
-from tallyfold.streaming.report import stream_polls_per_report, stream_report_windows
+from tallyfold.streaming.report import (
+    read_polls_per_report,
+    read_report_windows,
+    run_polls_per_report,
+    run_report_windows,
+)
 from tallyfold.streaming.state import continuous_state, run_snapshots, run_state_table
 from tests.helpers import T0, UPDATE, state, updates, values
 
@@ -85,6 +92,19 @@ def test_state_table_survives_restart_and_replay(spark, tmp_path):
     assert values(read_state(spark, path)) == expected()
 
 
+def test_state_table_does_not_depend_on_the_order_of_files(spark, tmp_path):
+    expected = None
+    for number, order in enumerate(((0, 1, 2, 3), (1, 0, 3, 2))):
+        folder = str(tmp_path / f"in{number}")
+        for part in order:
+            feed(spark, folder, sample(part * 60))
+            run_state_table(stream(spark, folder), str(tmp_path / f"s{number}"), str(tmp_path / f"c{number}"), "w").awaitTermination()
+        found = values(read_state(spark, str(tmp_path / f"s{number}")))
+        assert found == values(fold_updates(spark.read.parquet(folder)))
+        assert expected in (None, found)
+        expected = found
+
+
 def test_snapshots_of_a_stream(spark, tmp_path):
     folder, path = str(tmp_path / "in"), str(tmp_path / "snapshot")
     for part in range(2):
@@ -95,44 +115,34 @@ def test_snapshots_of_a_stream(spark, tmp_path):
 
 def polls(spark, folder, offsets):
     rows = [
-        (i, 0, i, T0 + datetime.timedelta(seconds=s), client, "batch", "PollCount", "counter", i, None)
+        (Decimal(i), 0, i, T0 + datetime.timedelta(seconds=s), client, "batch", "PollCount", "counter", i, None)
         for i, (s, client) in offsets
     ]
     spark.createDataFrame(rows, UPDATE).coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_report_windows_close_and_drop_late_polls(spark, tmp_path):
+def test_reports_count_every_poll_however_late(spark, tmp_path):
     folder = str(tmp_path / "in")
-    first = [(0, (0.0, "a")), (1, (2.0, "a")), (2, (9.9, "a")), (3, (10.0, "a")), (4, (11.0, "b")), (5, (45.0, "a"))]
-    late = [(6, (3.0, "a")), (7, (70.0, "b"))]
-    polls(spark, folder, first)
-    opened = stream_polls_per_report(stream(spark, folder))
-    newest = stream_report_windows(stream(spark, folder))
+    first = [(3, (10.0, "a")), (4, (11.0, "b")), (5, (45.0, "a"))]
+    late = [(0, (0.0, "a")), (1, (2.0, "a")), (2, (9.9, "a")), (6, (3.0, "a")), (7, (70.0, "b")), (8, (10.5, "b"))]
 
     def run():
-        for name, frame in (("polls", opened), ("newest", newest)):
-            frame.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / name)).option(
-                "checkpointLocation", str(tmp_path / f"c-{name}")
-            ).trigger(availableNow=True).start().awaitTermination()
+        for name, start in (("polls", run_polls_per_report), ("newest", run_report_windows)):
+            start(stream(spark, folder), str(tmp_path / name), str(tmp_path / f"c-{name}"), "w").awaitTermination()
 
-    run()
-    polls(spark, folder, late)
-    run()
-    got = {
-        ((r.window_start - T0).seconds, r.client): r.polls
-        for r in spark.read.schema(opened.schema).parquet(str(tmp_path / "polls")).collect()
-    }
-    assert got == {(0, "a"): 3, (10, "a"): 1, (10, "b"): 1, (40, "a"): 1}
-    got = {
-        ((r.window_start - T0).seconds, r.client): r.delta
-        for r in spark.read.schema(newest.schema).parquet(str(tmp_path / "newest")).collect()
-    }
-    assert got == {(0, "a"): 2, (10, "a"): 3, (10, "b"): 4, (40, "a"): 5}
+    for rows in (first, late[3:], late[:3]):
+        polls(spark, folder, rows)
+        run()
+    got = {((r.window_start - T0).seconds, r.client): r.polls for r in read_polls_per_report(spark, str(tmp_path / "polls")).collect()}
+    assert got == {(0, "a"): 4, (10, "a"): 1, (10, "b"): 2, (40, "a"): 1, (70, "b"): 1}
+    got = {((r.window_start - T0).seconds, r.client): r.delta for r in read_report_windows(spark, str(tmp_path / "newest")).collect()}
+    assert got == {(0, "a"): 6, (10, "a"): 3, (10, "b"): 8, (40, "a"): 5, (70, "b"): 7}
+    assert rows_of(read_polls_per_report(spark, str(tmp_path / "polls"))) == rows_of(polls_per_report(spark.read.parquet(folder)))
 
 
 def test_reports_in_batch(spark):
     rows = [
-        (i, 0, i, T0 + datetime.timedelta(seconds=2 * i), "a", "batch", "PollCount", "counter", i % 5 + 1, None)
+        (Decimal(i), 0, i, T0 + datetime.timedelta(seconds=2 * i), "a", "batch", "PollCount", "counter", i % 5 + 1, None)
         for i in range(15)
     ]
     frame = spark.createDataFrame(rows, UPDATE)
@@ -140,7 +150,7 @@ def test_reports_in_batch(spark):
     newest = report_windows(frame).orderBy("window_start").collect()
     assert [r.delta for r in newest] == [5, 5, 5]
     # Reported poll counts, folded as counter updates, give the number of polls.
-    total = fold_updates(frame.join(spark.createDataFrame([(r.seq,) for r in newest], "seq bigint"), "seq"))
+    total = fold_updates(frame.join(spark.createDataFrame([(r.seq,) for r in newest], "seq decimal(38,0)"), "seq"))
     assert values(total) == {("PollCount", "counter"): 15}
 
 
@@ -155,7 +165,16 @@ def test_request_stream_feeds_state_and_audit(spark, tmp_path):
     judged = judge_batches(parse_batches(stream_requests(spark, folder, files_per_trigger=1)))
     run_state_table(applied_updates(judged), str(tmp_path / "state"), str(tmp_path / "c1"), "w").awaitTermination()
     assert values(read_state(spark, str(tmp_path / "state"))) == {("a", "counter"): 4, ("g", "gauge"): 3.0}
-    sinks = [lambda events, n=n: append_audit(events, str(tmp_path / n)) for n in ("one", "two")]
+    failures = iter([True])
+
+    def shaky(events, epoch):
+        if next(failures, False):
+            raise OSError("once")
+        append_audit(events, str(tmp_path / "two"), "w", epoch)
+
+    sinks = [shaky, lambda events, epoch: append_audit(events, str(tmp_path / "one"), "w", epoch)]
+    with pytest.raises(Exception, match="audit sinks failed"):
+        run_audit(audit_bodies(judged), sinks, str(tmp_path / "c2")).awaitTermination()
     run_audit(audit_bodies(judged), sinks, str(tmp_path / "c2")).awaitTermination()
     for name in ("one", "two"):
         events = read_audit(spark, str(tmp_path / name)).collect()

@@ -155,14 +155,6 @@ def test_state_violations(spark):
     }
 
 
-def test_too_long_batch_fails(spark):
-    from tallyfold.functions.ordering import seq_of
-
-    rows = spark.range(1).select(seq_of(F.lit(1), F.lit(1 << 20)).alias("s"))
-    with pytest.raises(Exception, match="a batch holds more than"):
-        rows.collect()
-
-
 @pytest.mark.parametrize("store", [v.MEMORY, v.TABLE])
 def test_both_ways_to_judge_an_element_agree(spark, store):
     from itertools import product
