@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,25 @@ def is_known_type(metric_type: Column) -> Column:
     return F.coalesce(metric_type.isin(*METRIC_TYPES), F.lit(False))
 
 
+def _stops(
+    name: Column, metric_type: Column, delta: Column, value: Column, store: str
+) -> list[tuple[Column, str]]:
+    """What stops a batch, in the order it is tested, with the class it gives."""
+    if store not in (MEMORY, TABLE):
+        raise ValueError(f"unknown store {store!r}")
+    is_counter, is_gauge = metric_type == COUNTER, metric_type == GAUGE
+    stops = [(is_counter & delta.isNull(), "null_delta"), (is_gauge & value.isNull(), "null_value")]
+    if store == TABLE:
+        too_long = is_known_type(metric_type) & (F.length(name) > MAX_NAME_LENGTH)
+        out_of_range = is_counter & ~delta.between(INT32_MIN, INT32_MAX)
+        stops += [(too_long, "name_too_long"), (out_of_range, "delta_range")]
+    return stops
+
+
+# Only in the path form a missing number means text that did not parse.
+_PATH_CLASS = {"null_delta": "bad_delta", "null_value": "bad_value"}
+
+
 def update_class(
     name: Column,
     metric_type: Column,
@@ -24,43 +45,27 @@ def update_class(
     form: Column,
     store: str = MEMORY,
 ) -> Column:
-    """Why an update is refused, or ``ok``; tested in the order a request is.
+    """Why an update is refused, or ``ok``.
 
-    Only the path form refuses an empty id, and only there a missing number means
-    text that did not parse. The table store adds the limits of its columns.
+    Only the path form refuses an empty id. The table store adds the limits of its
+    columns.
     """
-    if store not in (MEMORY, TABLE):
-        raise ValueError(f"unknown store {store!r}")
     is_path = F.coalesce(form == "path", F.lit(False))
-    is_counter, is_gauge = metric_type == COUNTER, metric_type == GAUGE
-    judged = (
-        F.when(is_path & (F.coalesce(name, F.lit("")) == ""), "missing_id")
-        .when(is_counter & delta.isNull(), F.when(is_path, "bad_delta").otherwise("null_delta"))
-        .when(is_gauge & value.isNull(), F.when(is_path, "bad_value").otherwise("null_value"))
-        .when(~is_known_type(metric_type), UNKNOWN_TYPE)
-    )
-    if store == TABLE:
-        judged = judged.when(F.length(name) > MAX_NAME_LENGTH, "name_too_long").when(
-            is_counter & ~delta.between(INT32_MIN, INT32_MAX), "delta_range"
-        )
-    return judged.otherwise(OK)
+    judged = F.when(is_path & (F.coalesce(name, F.lit("")) == ""), "missing_id")
+    for stops, class_ in _stops(name, metric_type, delta, value, store):
+        on_path = _PATH_CLASS.get(class_, class_)
+        judged = judged.when(stops, F.when(is_path, on_path).otherwise(class_))
+    return judged.when(~is_known_type(metric_type), UNKNOWN_TYPE).otherwise(OK)
 
 
 def stops_batch(item: Column, store: str = MEMORY) -> Column:
     """``fails_batch`` of one list element, without spelling out its class.
 
     It runs inside ``transform`` and ``exists``, which are interpreted, so it is a
-    plain condition. The two must agree.
+    plain condition.
     """
-    kind, delta = item["type"], item["delta"]
-    stops = ((kind == COUNTER) & delta.isNull()) | ((kind == GAUGE) & item["value"].isNull())
-    if store == TABLE:
-        stops = (
-            stops
-            | (is_known_type(kind) & (F.length(item["id"]) > MAX_NAME_LENGTH))
-            | ((kind == COUNTER) & ~delta.between(INT32_MIN, INT32_MAX))
-        )
-    return F.coalesce(stops, F.lit(False))
+    conditions = _stops(item["id"], item["type"], item["delta"], item["value"], store)
+    return F.coalesce(functools.reduce(Column.__or__, [stops for stops, _ in conditions]), F.lit(False))
 
 
 def fails_batch(class_: Column) -> Column:

@@ -375,12 +375,16 @@ def client_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def parsed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    fixed = ["+5", " 5 ", "5d", "0x1p3", "1e400", "-.5e3", "1_000", "9223372036854775808", "1.", "0x10", ""]
-    text = F.when(event % 13 == 0, F.get_json_object("props", "$.k")).when(
-        event % 13 == 1, F.col("value").cast("string")
-    )
-    for position, literal in enumerate(fixed, start=2):
-        text = text.when(event % 13 == position, literal)
+    k, value = F.get_json_object("props", "$.k"), F.col("value").cast("string")
+    spellings = [
+        k, value, F.concat(F.lit("+"), k), F.concat(F.lit(" "), k), F.concat(k, F.lit("d")),
+        F.lit("0x1p3"), F.concat(k, F.lit("e400")), F.concat(F.lit("-."), k, F.lit("e3")),
+        F.concat(k, F.lit("_000")), F.concat(k, F.lit("9223372036854775807")), F.concat(k, F.lit(".")),
+        F.concat(F.lit("0x"), k), F.concat(k, F.lit("e-1")),
+    ]
+    text = F.lit("")
+    for position, spelling in enumerate(spellings):
+        text = F.when(event % 13 == position, spelling).otherwise(text)
     return read_events(spark, sf_dir).select(
         "event_id", parse_int64(text).alias("as_int"), parse_float64(text).alias("as_float")
     )

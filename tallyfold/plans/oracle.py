@@ -295,18 +295,23 @@ _SELECTS = {
                     else 'socket' end as client
         from events""",
     "parsed_numbers": """
+        , t as (select *, json_extract_string(props,'$.k') as k from events)
         select event_id,
-               case event_id%13 when 0 then cast(json_extract_string(props,'$.k') as bigint)
-                                when 2 then 5 end as as_int,
-               case event_id%13 when 0 then cast(json_extract_string(props,'$.k') as double)
+               case event_id%13 when 0 then cast(k as bigint)
+                                when 2 then cast(k as bigint)
+                                when 9 then case when cast(k as bigint)=0
+                                                 then 9223372036854775807 end end as as_int,
+               case event_id%13 when 0 then cast(k as double)
                                 when 1 then value
-                                when 2 then 5.0::double
+                                when 2 then cast(k as double)
                                 when 5 then 8.0::double
-                                when 7 then (-500.0)::double
-                                when 8 then 1000.0::double
-                                when 9 then 9223372036854775808::double
-                                when 10 then 1.0::double end as as_float
-        from events""",
+                                when 6 then case when cast(k as bigint)=0 then 0.0::double end
+                                when 7 then cast('-0.' || k || 'e3' as double)
+                                when 8 then cast(k || '000' as double)
+                                when 9 then cast(k || '9223372036854775807' as double)
+                                when 10 then cast(k as double)
+                                when 12 then cast(k || 'e-1' as double) end as as_float
+        from t""",
     "payload_digest": """
         select batch_id, sha256(body || 'key') as digest, batch_id%23<>1 as matches from bodies""",
     "value_texts": """
