@@ -267,7 +267,10 @@ def quality_rules(
         | (words > max_word_distance)
         | ((chars > joint_distances[0]) & (words > joint_distances[1]))
     )
-    return guarded.withColumn("kept", ~F.col("base_failed") & ~diverges).select(*own, *judged)
+    judged_now = [*map(F.col, judged[:-1]), (~F.col("base_failed") & ~diverges).alias("kept")]
+    # A filter on the verdict would be pushed below the projections and work everything out
+    # again inside itself, once per word; filters do not pass a generator.
+    return guarded.select(*own, F.inline(F.array(F.struct(*judged_now))))
 
 
 def fit_references(
