@@ -4,7 +4,7 @@ from tallyfold.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8)
+def spark(tmp_path_factory):
+    session = local_session(8, spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
