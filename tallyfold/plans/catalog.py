@@ -26,7 +26,7 @@ from tallyfold.sinks.audit_log import append_audit, read_audit
 from tallyfold.sinks.files import write_bodies
 from tallyfold.sinks.snapshot import load_snapshot, save_snapshot
 from tallyfold.sinks.state_table import upsert_state
-from tallyfold.sources.files import read_bodies
+from tallyfold.sources.files import REQUEST, read_bodies, read_requests, stream_requests
 from tallyfold.sources.snapshot import snapshot_rows
 from tallyfold.sources.state_table import read_state
 from tallyfold.sources.updates import explode_batches, parse_batches, parse_paths, parse_updates
@@ -305,9 +305,25 @@ def _batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explode_batches(parse_batches(_batch_requests(spark, sf_dir))).drop(
-        "ts", "client", "form"
-    )
+    """Bodies read from compressed request files."""
+    folder = new_work_dir(spark, "requests")
+    requests = _batch_requests(spark, sf_dir).select(*REQUEST.fieldNames())
+    requests.write.option("compression", "gzip").json(folder)
+    return explode_batches(parse_batches(read_requests(spark, folder))).drop("ts", "client", "form")
+
+
+@query
+def stream_json_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of request files, judged as bodies, into the state table."""
+    folder = new_work_dir(spark, "stream-requests")
+    requests = _batch_requests(spark, sf_dir).select(*REQUEST.fieldNames())
+    requests.repartition(4, "batch_id").write.option("compression", "gzip").json(f"{folder}/in")
+    stream = stream_requests(spark, f"{folder}/in", files_per_trigger=1)
+    judged = validate.judge_batches(parse_batches(stream), on_invalid=validate.APPLY_PREFIX, key=KEY)
+    run_state_table(
+        validate.applied_updates(judged), f"{folder}/state", f"{folder}/checkpoint", "stream"
+    ).awaitTermination()
+    return read_state(spark, f"{folder}/state").drop("first_seen")
 
 
 def _verdicts(spark: SparkSession, sf_dir: str, on_invalid: str) -> DataFrame:

@@ -341,6 +341,7 @@ _SELECTS = {
     "state_upsert": "select * from state",
     "stored_gauges": "select name, gauge_value from state where metric_type='gauge'",
     "ingested_state": _INGESTED.format(or_prefix="or http_status=500 and pos<first_bad"),
+    "stream_json_state": _INGESTED.format(or_prefix="or http_status=500 and pos<first_bad"),
     "ingested_table_state": _INGESTED.format(or_prefix=""),
     "snapshot_maps": _STATE_VALUES,
     "snapshot_file": _STATE_VALUES,
