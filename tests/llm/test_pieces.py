@@ -1,5 +1,4 @@
-from array import array
-
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -14,9 +13,7 @@ TEXT = st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_fr
 
 
 def ids(encoder, text, key="k"):
-    out = array("i")
-    encoder.encode(text, key, out)
-    return list(out)
+    return encoder.encode(text, key)
 
 
 @settings(max_examples=300, deadline=None)
@@ -62,6 +59,14 @@ def brute(chunk, key, limit):
 @given(st.text("abcdeinorst ", min_size=1, max_size=14), st.integers(0, 2**64 - 1), st.sampled_from([0, 1 << 61, 1 << 63]))
 def test_agenda_equals_brute_force(chunk, key, limit):
     assert MODEL.cut(chunk, key, limit) == brute(chunk, key, limit)
+    assert MODEL.cut_many([chunk], np.array([key], np.uint64), limit) == [np.array(brute(chunk, key, limit), np.int32).tobytes()]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcdeinorst é日\n", max_size=30), max_size=40), st.sampled_from([0, 1 << 62, 1 << 64]))
+def test_many_chunks_at_once(chunks, limit):
+    keys = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert MODEL.cut_many(chunks, keys, limit) == [np.array(MODEL.cut(c, int(k), limit), np.int32).tobytes() for c, k in zip(chunks, keys)]
 
 
 def test_dropout_varies_and_repeats():
@@ -79,7 +84,8 @@ def test_long_texts_in_blocks_and_a_full_cache(monkeypatch):
     text = "ab  cde " * 200_000 + "y" * 3000
     encoder = P.Encoder(MODEL, 0.1, 3, 4)
     found = ids(encoder, text)
-    assert MODEL.decode(found) == text and encoder.n_kept <= 50
+    assert MODEL.decode(found) == text and encoder.n_kept <= 50 + 40
+    assert found == ids(P.Encoder(MODEL, 0.1, 3, 4), text)
 
 
 @pytest.mark.parametrize("extra", [False, True])
