@@ -194,8 +194,10 @@ def divergence(frame: DataFrame, references: Mapping[str, Mapping], lang_col: st
             for lang, ref in references.items()
         ]
     )
-    known = F.col(lang_col).isin(list(references)) if lang_col in frame.columns else F.lit(False)
-    fitting = F.filter(refs, lambda r: ~known | (r["lang"] == F.col(lang_col))) if lang_col in frame.columns else refs
+    fitting = refs
+    if lang_col in frame.columns:
+        known = F.coalesce(F.col(lang_col).isin(list(references)), F.lit(False))
+        fitting = F.filter(refs, lambda r: ~known | (r["lang"] == F.col(lang_col)))
 
     def word_counts(ref: Column, common: Column) -> Column:
         met = F.transform(
@@ -283,7 +285,11 @@ def fit_references(
     named = {lang: {"chars": _PROSE, "words": dict.fromkeys(listed, 1)} for lang, listed in words.items()}
     frame = histograms(base_counts(docs.filter(F.col(lang_col).isin(list(words)))), named)
     listed = sorted({w for each in words.values() for w in each})
-    met = [F.sum(F.size(F.filter("_common", lambda x, w=w: x == w))).alias(f"w{i}") for i, w in enumerate(listed)]
+
+    def times_met(word: str) -> Column:
+        return F.sum(F.size(F.filter("_common", lambda x: x == word)))
+
+    met = [times_met(w).alias(f"w{i}") for i, w in enumerate(listed)]
     kinds = [F.sum(F.get("_chars", F.lit(i))).alias(f"c{i}") for i in range(len(CHAR_CLASSES))]
     rows = frame.groupBy(lang_col).agg(F.sum("n_words").alias("n"), *met, *kinds).collect()
     out = {}
