@@ -85,10 +85,8 @@ def budgets(
 ) -> DataFrame:
     """Adds each leaf's ``budget`` to rows of ``PATH``, ``tokens`` and ``docs``."""
     sums = leaves.withColumn("supply", (F.col("tokens") * max_epochs).cast(_WIDE))
-    total = sums.agg(
-        F.least(F.expr(f"sum(tokens) * {budget_percent} div 100").cast(_WIDE), F.sum("supply")).alias("budget")
-    )
-    above, parent = total, []
+    total = sums.agg(F.least(F.expr(f"sum(tokens) * {budget_percent} div 100").cast(_WIDE), F.sum("supply")))
+    above, parent = None, []
     for level, name in enumerate(PATH):
         path = list(PATH[: level + 1])
         nodes = sums.groupBy(*path).agg(F.sum("supply").cast(_WIDE).alias("supply"))
@@ -98,7 +96,7 @@ def budgets(
             nodes = nodes.join(above, _all_same(parent, [f"_{p}" for p in parent]))
             nodes = nodes.select(*path, "supply", "weight", "budget")
         else:
-            nodes = nodes.join(F.broadcast(above))  # one row, as an aggregate without keys
+            nodes = nodes.withColumn("budget", total.scalar())
         shared = share_out(nodes, parent, name)
         above, parent = shared.select(*path, F.col("share").alias("budget")), path
     return above

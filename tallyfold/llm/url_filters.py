@@ -138,10 +138,10 @@ def judge_templates(
     judged = joined.drop("_h", "_p").join(merged, (F.col("host") == F.col("_h")) & (F.col("parent") == F.col("_p")), "left")
     n = F.when(F.col("_alike"), F.col("_mn")).otherwise(F.col("n"))
     b = F.when(F.col("_alike"), F.col("_mb")).otherwise(F.col("b"))
-    overall = counted.agg(F.sum("labelled").alias("_all"), F.sum("bad").alias("_all_bad"))
+    overall = counted.agg(F.struct(F.sum("labelled").alias("all"), F.sum("bad").alias("bad"))).scalar()
     # (b + prior * share) / (n + prior) >= limit, with share = all_bad / all.
-    judged = judged.select("host", "template", n.alias("n"), b.alias("b")).join(F.broadcast(overall))
-    smoothed = 100 * (F.col("b") * F.col("_all") + prior * F.col("_all_bad")) >= max_bad_percent * F.col("_all") * (F.col("n") + prior)
+    judged = judged.select("host", "template", n.alias("n"), b.alias("b"), overall.alias("_all"))
+    smoothed = 100 * (F.col("b") * F.col("_all.all") + prior * F.col("_all.bad")) >= max_bad_percent * F.col("_all.all") * (F.col("n") + prior)
     verdicts = judged.select(
         F.col("host").alias("_vh"), F.col("template").alias("_vt"),
         F.coalesce(smoothed & (F.col("n") > 0), F.lit(False)).alias("rejected"),
