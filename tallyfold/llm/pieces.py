@@ -22,7 +22,6 @@ from __future__ import annotations
 import functools
 import heapq
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,8 +34,10 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BITS = (1 << 64) - 1
-_KEPT_CUTS = 200_000  # cached chunks of a task, all streams together
+_KEPT_CUTS = 500_000  # cached chunks of a task, all streams together
 _LONGEST_KEPT = 64
+_WIDEST = 24  # characters of chunks that are cut many at a time
+_BLOCK = 1 << 20
 
 
 class PieceModel:
@@ -58,9 +59,104 @@ class PieceModel:
             self.surface[i] = piece.encode()
         for value, i in self.bytes.items():
             self.surface[i] = bytes([value])
+        self._tables(pieces)
         alone = "" if any("\n" in piece for piece in pieces.values()) else r"\n"
         self.chunks = re.compile(rf" *[^ {alone}]+|{alone or '(?!)'}| +")
 
+    def _tables(self, pieces: dict[int, str]) -> None:
+        """The vocabulary as arrays: symbols are pieces, numbered from 0 in order of id."""
+        self.symbol_ids = np.array(list(pieces), np.int32)
+        number = {piece: i for i, piece in enumerate(pieces.values())}
+        _, self.ranks = np.unique([self.order[i] for i in pieces], return_inverse=True)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for piece, i in number.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+        made = {}
+        for piece, i in number.items():
+            for at in range(1, len(piece)):
+                left, right = number.get(piece[:at]), number.get(piece[at:])
+                if left is not None and right is not None:
+                    made[left * len(number) + right] = i
+        self.pairs = np.array(sorted(made), np.int64)
+        self.made = np.array([made[x] for x in self.pairs.tolist()], np.int32)
+
+    def cut_many(self, chunks: list[str], keys: np.ndarray, limit: int = 0) -> list[bytes]:
+        """``cut`` of many chunks at once, each with its key, as bytes of 32-bit ids.
+
+        A round takes the best candidate of every chunk's agenda: the pair of least rank,
+        the leftmost of equals. Chunks that are long or need byte pieces are cut singly.
+        """
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        found = [b""] * len(chunks)
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
+        symbols = self.of_char[codes]
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        unknown = np.concatenate(([0], np.cumsum(symbols < 0)))
+        easy = (sizes <= _WIDEST) & (unknown[starts[1:]] == unknown[starts[:-1]]) & (sizes > 0)
+        for i in np.flatnonzero(~easy).tolist():
+            found[i] = np.array(self.cut(chunks[i], int(keys[i]), limit), np.int32).tobytes()
+        for low, high in ((0, 6), (6, 12), (12, _WIDEST)):  # little padding
+            rows = np.flatnonzero(easy & (sizes > low) & (sizes <= high))
+            for at in range(0, len(rows), 1 << 16):
+                part = rows[at : at + (1 << 16)]
+                flat, ends = self._cut_rows(symbols, starts[part], sizes[part], keys[part], limit)
+                data, begin = flat.tobytes(), 0
+                for i, end in zip(part.tolist(), (4 * ends).tolist(), strict=True):
+                    found[i] = data[begin:end]
+                    begin = end
+        return found
+
+    def _cut_rows(self, symbols, starts, sizes, keys, limit) -> tuple[np.ndarray, np.ndarray]:
+        n, width = len(starts), int(sizes.max())
+        columns = np.arange(width)
+        inside = columns < sizes[:, None]
+        # One column more than the widest chunk: where the last part's successor points.
+        held = np.full((n, width + 1), -1, np.int32)
+        held[:, :-1][inside] = symbols[(starts[:, None] + columns)[inside]]
+        after = np.tile(np.arange(1, width + 2, dtype=np.int16), (n, 1))
+        before = np.tile(np.arange(-1, width, dtype=np.int16), (n, 1))
+        none = np.iinfo(np.int32).max
+        rank, merged = np.full((n, width), none, np.int32), np.full((n, width), -1, np.int32)
+        made, ranks = self._made(held[:, :-1].ravel(), held[:, 1:].ravel())
+        merged[:], rank[:] = made.reshape(n, width), ranks.reshape(n, width)
+        rows = np.arange(n)
+        while len(rows):
+            left = rank[rows].argmin(1)
+            open_ = rank[rows, left] < none
+            rows, left = rows[open_], left[open_]
+            if not len(rows):
+                break
+            piece = merged[rows, left]
+            rank[rows, left] = none
+            if limit:
+                kept = _draws(keys[rows], left, self.symbol_ids[piece]) >= np.uint64(limit) if limit < 1 << 64 else np.zeros(len(rows), bool)
+                at, left, piece = rows[kept], left[kept], piece[kept]
+            else:
+                at = rows
+            right = after[at, left].astype(np.int64)
+            nxt = after[at, right].astype(np.int64)
+            held[at, left], held[at, right] = piece, -1
+            rank[at, right] = none
+            after[at, left] = nxt
+            last = nxt >= width
+            before[at[~last], nxt[~last]] = left[~last]
+            merged[at, left], rank[at, left] = self._made(piece, held[at, nxt])
+            prev = before[at, left].astype(np.int64)
+            has = prev >= 0
+            at, prev, piece = at[has], prev[has], piece[has]
+            merged[at, prev], rank[at, prev] = self._made(held[at, prev], piece)
+        alive = held[:, :-1] >= 0
+        return self.symbol_ids[held[:, :-1][alive]], np.cumsum(alive.sum(1))
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol and rank of the piece two symbols make, or -1 and the greatest number."""
+        key = left.astype(np.int64) * len(self.symbol_ids) + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        good = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        symbol = np.where(good, self.made[at], -1)
+        return symbol, np.where(good, self.ranks[symbol], np.iinfo(np.int32).max)
+
     def cut(self, chunk: str, key: int = 0, limit: int = 0) -> list[int]:
         """Piece ids of one chunk; candidates whose hash with ``key`` is below ``limit`` are skipped."""
         ids, order = self.ids, self.order
@@ -115,13 +211,22 @@ def _draw(key: int, left: int, piece: int) -> int:
     return x ^ (x >> 32)
 
 
+def _draws(keys: np.ndarray, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """``_draw`` of many."""
+    with np.errstate(over="ignore"):
+        x = keys ^ (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (piece.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(32))
+
+
 class Encoder:
     """Encodes texts with one seed; keeps the cuts of short chunks up to a bound."""
 
     def __init__(self, model: PieceModel, dropout: float, seed: int, streams: int):
         self.model, self.seed, self.streams = model, seed, streams
         self.limit = int(dropout * (1 << 64))
-        self.kept: list[dict[str, tuple[int, ...]]] = [{} for _ in range(streams)]
+        self.kept: list[dict[str, bytes]] = [{} for _ in range(streams)]
         self.n_kept = 0
 
     def stream_of(self, doc_key: str, n: int) -> int:
@@ -137,28 +242,58 @@ class Encoder:
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
             return ((x ^ (x >> np.uint64(32))) % np.uint64(self.streams)).tolist()
 
-    def _cut(self, chunk: str, stream: int) -> tuple[int, ...]:
-        key = xxhash.xxh64_intdigest(chunk, (self.seed * self.streams + stream) & _BITS) if self.limit else 0
-        cut = tuple(self.model.cut(chunk, key, self.limit))
-        if len(chunk) <= _LONGEST_KEPT:
-            if self.n_kept >= _KEPT_CUTS:
-                self.kept, self.n_kept = [{} for _ in range(self.streams)], 0
-            self.kept[stream][chunk] = cut
-            self.n_kept += 1
-        return cut
-
-    def encode(self, text: str, doc_key: str, out: array) -> None:
-        """Appends the piece ids of ``text``; long texts are walked block by block."""
-        if not text:
-            return
-        text, n, at = " " + text, 0, 0
-        while at < len(text):
-            end = len(text) if len(text) - at <= 1 << 20 else self._border(text, at + (1 << 20))
-            chunks = self.model.chunks.findall(text, at, end)
-            streams = self._streams(doc_key, n + len(chunks))[n:]
-            for chunk, stream in zip(chunks, streams, strict=True):
-                out.extend(self.kept[stream].get(chunk) or self._cut(chunk, stream))
-            n, at = n + len(chunks), end
+    def _cut_missing(self, units: list[tuple[list[str] | None, list[int] | None]]) -> list[dict[str, bytes]]:
+        """Cuts of all chunks of ``units`` by stream; short ones are kept for later."""
+        if self.n_kept >= _KEPT_CUTS:
+            self.kept, self.n_kept = [{} for _ in range(self.streams)], 0
+        missing: list[set[str]] = [set() for _ in range(self.streams)]
+        for chunks, streams in units:
+            for chunk, stream in zip(chunks or (), streams or (), strict=True):
+                if chunk not in self.kept[stream]:
+                    missing[stream].add(chunk)
+        long: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
+        for stream, wanted in enumerate(missing):
+            chunks, seed = list(wanted), (self.seed * self.streams + stream) & _BITS
+            digest = xxhash.xxh64_intdigest
+            keys = np.fromiter((digest(c, seed) for c in chunks), np.uint64, len(chunks)) if self.limit else np.zeros(len(chunks), np.uint64)
+            for chunk, cut in zip(chunks, self.model.cut_many(chunks, keys, self.limit), strict=True):
+                short = len(chunk) <= _LONGEST_KEPT
+                (self.kept if short else long)[stream][chunk] = cut
+                self.n_kept += short
+        return long
+
+    def encode_many(self, texts: Iterable[str], doc_keys: Iterable[str]) -> tuple[bytearray, list[int]]:
+        """Piece ids of all texts one after another, as bytes, and how many end each text. Chunks are
+        cut about a million characters at a time; longer texts are walked block by block."""
+        out, ends, units, size = bytearray(), [], [], 0
+
+        def flush() -> None:
+            nonlocal size
+            long = self._cut_missing(units)
+            for chunks, streams in units:
+                if chunks is None:
+                    ends.append(len(out) // 4)
+                    continue
+                kept = self.kept
+                out.extend(b"".join([kept[s].get(c) or long[s][c] for c, s in zip(chunks, streams, strict=True)]))
+            units.clear()
+            size = 0
+
+        for text, doc_key in zip(texts, doc_keys, strict=True):
+            text, n, at = (" " + text if text else ""), 0, 0
+            while at < len(text):
+                end = len(text) if len(text) - at <= _BLOCK else self._border(text, at + _BLOCK)
+                chunks = self.model.chunks.findall(text, at, end)
+                units.append((chunks, self._streams(doc_key, n + len(chunks))[n:]))
+                n, size, at = n + len(chunks), size + end - at, end
+                if size >= _BLOCK:
+                    flush()
+            units.append((None, None))
+        flush()
+        return out, ends
+
+    def encode(self, text: str, doc_key: str) -> list[int]:
+        return np.frombuffer(self.encode_many([text], [doc_key])[0], np.int32).tolist()
 
     @staticmethod
     def _border(text: str, at: int) -> int:
@@ -194,17 +329,16 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_model(shared.value), dropout, seed, streams)
         for batch in batches:
-            texts, keys = batch.column("_text"), batch.column("_key")
-            at = 0
+            texts, keys, at = batch.column("_text"), batch.column("_key"), 0
             while at < batch.num_rows:
-                ids, ends, size, first = array("i"), [0], 0, at
+                first, size = at, 0
                 while at < batch.num_rows and size < 1 << 21:
-                    text = texts[at].as_py()
-                    encoder.encode(text, keys[at].as_py(), ids)
-                    ends.append(len(ids))
-                    size, at = size + len(text), at + 1
-                pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if len(ids) else np.zeros(0, np.int32)))
-                kept = [batch.column(c).slice(first, at - first) for c in own]
+                    size, at = size + len(texts[at].as_buffer() or b""), at + 1
+                part = slice(first, at)
+                ids, ends = encoder.encode_many(texts[part].to_pylist(), keys[part].to_pylist())
+                values = pa.array(np.frombuffer(ids, np.int32))
+                pieces = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
+                kept = [batch.column(c)[part] for c in own]
                 yield pa.RecordBatch.from_arrays([*kept, pieces], names=[*own, "pieces"])
 
     fed = docs.select(
