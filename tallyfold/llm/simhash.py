@@ -268,15 +268,13 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     all its columns as text. Rows without a doc_id stay only if their group has no other.
     """
     found = near_duplicates(docs, **options)
-    kept = cut(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("_kept"))
-        .agg(F.count("*").alias("_rows")),
-        "kept",
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_kept"))
-    once = docs.join(kept.filter("_rows = 1"), same, "left_semi")
-    repeated = kept.filter("_rows > 1")
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(stays.alias("_stays"), F.count("*").alias("_rows"))
+    # Few documents go and fewer are repeated, so the texts are held against those ids.
+    marked = cut(ids.filter(~F.col("_stays") | (F.col("_rows") > 1)), "marked")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    once = docs.join(marked, same, "left_anti")
+    repeated = cut(marked.filter("_stays"), "repeated")
     if repeated.isEmpty():
         return once
     least = F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns)))
