@@ -5,7 +5,8 @@ enough documents go into an index of shards; each shard is a minimal perfect has
 slot of a key holds a fingerprint, the number of documents, and the last of them. Documents
 send the hashes of their lines to the shard that may hold them; no line text moves. A task
 holds one shard and one batch of probes. Probes of a shard are dealt over ``salts`` tasks,
-and a document sends a repeated key once, so a line of a third of all documents spreads.
+each with a copy of the shard's arrays (some 20 bytes a line), and a document sends a
+repeated key once, so a line of a third of all documents is 32 streams, not one.
 
 Defined results: a null text is one empty line and becomes an empty text; a row is a
 document, so a repeated row counts again; rows that share the largest doc_id all keep
@@ -224,7 +225,7 @@ def drop_repeated_lines(
     min_chars: int = 20,
     min_docs: int = 3,
     keys_per_shard: int = 1 << 16,
-    salts: int = 4,
+    salts: int = 32,
 ) -> DataFrame:
     """``docs`` without the lines whose key is in at least ``min_docs`` documents, except
     in the largest doc_id holding it; adds ``n_lines`` (before) and ``n_dropped``."""
