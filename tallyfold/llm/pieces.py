@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BITS = (1 << 64) - 1
-_KEPT_CUTS = 500_000  # cached chunks of a task, all streams together
+_KEPT_CUTS = 200_000  # cached chunks of a task, all streams together
 _LONGEST_KEPT = 64
 _WIDEST = 24  # characters of chunks that are cut many at a time
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 
 
 class PieceModel:
@@ -264,7 +264,7 @@ class Encoder:
 
     def encode_many(self, texts: Iterable[str], doc_keys: Iterable[str]) -> tuple[bytearray, list[int]]:
         """Piece ids of all texts one after another, as bytes, and how many end each text. Chunks are
-        cut about a million characters at a time; longer texts are walked block by block."""
+        cut about half a million characters at a time; longer texts are walked block by block."""
         out, ends, units, size = bytearray(), [], [], 0
 
         def flush() -> None:
