@@ -71,11 +71,11 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's label is the quality label of the same number."""
+    """A page's label is the quality label of the same number; whole paths, merged at every level."""
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")
     )
-    judged = url_filters.filter_urls(table(spark, sf_dir, "pages"), labels)
+    judged = url_filters.filter_urls(table(spark, sf_dir, "pages"), labels, depth=None, inner=True)
     return judged.select("page_id", "host", "path", "rule", "verdict", "template")
 
 

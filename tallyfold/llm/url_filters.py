@@ -4,9 +4,11 @@ Every host has a tree of path templates. Segments that vary by form (digits, hex
 long slugs) become ``*`` at once. Then, level by level, a node whose children are mostly
 seen once or twice each gets one ``*`` child for all of them. Sibling branches whose share
 of bad labels does not differ statistically from that of all siblings together are merged:
-they are judged by their pooled labels. A template is rejected if its smoothed share of
-bad labels reaches ``max_bad``; the smoothing is a prior of ``prior`` pages at the share
-of all labelled pages.
+they are judged by their pooled labels. By default only templates that differ in their
+last segment are siblings; with ``inner`` whole subtrees are, from the deepest level up to
+the host: the alike ones become one branch, in which equal remainders are one template. A
+template is rejected if its smoothed share of bad labels reaches ``max_bad``; the smoothing
+is a prior of ``prior`` pages at the share of all labelled pages.
 
 Pages are counted by template before anything else, so a host of a third of all pages is
 a few rows. Only column expressions, joins and aggregates are used.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import cut
 
+MERGED = "/"  # alike siblings as one branch; never a segment of a path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Forms of segments that vary from page to page: numbers with or without an ending, dates,
 # hex strings, and slugs of many words.
@@ -72,10 +75,13 @@ def fitting_rule(rules: Sequence[Rule]) -> Column:
     return found
 
 
-def segments(path: Column, depth: int) -> Column:
+def segments(path: Column, depth: int | None) -> Column:
     """Path segments, variable forms as ``*``; what lies below ``depth`` becomes ``**``."""
     named = F.filter(F.split(path, "/"), lambda s: s != "")
-    shown = F.transform(F.slice(named, 1, depth), lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
+    starred = lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s)
+    if depth is None:
+        return F.transform(named, starred)
+    shown = F.transform(F.slice(named, 1, depth), starred)
     return F.when(F.size(named) > depth, F.concat(shown, F.array(F.lit("**")))).otherwise(shown)
 
 
@@ -106,41 +112,97 @@ def generalise(nodes: DataFrame, level: int, min_children: int, max_mean: int) -
     )
 
 
+def branching_levels(nodes: DataFrame, children: int) -> list[int]:
+    """Levels at which some host has ``children`` different segments. At others no parent
+    has so many, now or after segments above or beside have become one."""
+    at = nodes.select("host", F.posexplode("template").alias("_level", "_child")).groupBy("host", "_level")
+    wide = at.agg(F.count_distinct("_child").alias("_n")).filter(F.col("_n") >= children)
+    return sorted(r["_level"] for r in wide.select("_level").distinct().collect())
+
+
+def is_alike(z_squared: int) -> Column:
+    """With pooled counts N and B, a branch belongs to the pool if
+    (b/n - B/N)^2 * n <= z^2 * B/N * (1 - B/N), in whole numbers."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    gap = wide("b") * wide("_n") - wide("_b") * wide("n")
+    return gap * gap <= z_squared * wide("_b") * (wide("_n") - wide("_b")) * wide("n")
+
+
+def pool_siblings(leaves: DataFrame, z_squared: int) -> DataFrame:
+    """``leaves`` with ``n`` and ``b`` pooled over the alike templates of equal parent."""
+    leaves = leaves.withColumn("template", F.array_join("template", "/"))
+    leaves = leaves.withColumn("parent", F.regexp_replace("template", r"(^|/)[^/]*$", ""))
+    pooled = leaves.groupBy(F.col("host").alias("_h"), F.col("parent").alias("_p")).agg(
+        F.sum("n").alias("_n"), F.sum("b").alias("_b")
+    )
+    joined = leaves.join(pooled, (F.col("host") == F.col("_h")) & (F.col("parent") == F.col("_p"))).withColumn(
+        "_alike", is_alike(z_squared)
+    )
+    merged = joined.filter("_alike").groupBy("_h", "_p").agg(F.sum("n").alias("_mn"), F.sum("b").alias("_mb"))
+    judged = joined.drop("_h", "_p").join(merged, (F.col("host") == F.col("_h")) & (F.col("parent") == F.col("_p")), "left")
+    n = F.when(F.col("_alike"), F.col("_mn")).otherwise(F.col("n"))
+    b = F.when(F.col("_alike"), F.col("_mb")).otherwise(F.col("b"))
+    return judged.select("host", "template", n.alias("n"), b.alias("b"))
+
+
+def pool_subtrees(leaves: DataFrame, z_squared: int) -> DataFrame:
+    """``leaves`` with ``n`` and ``b`` pooled over the templates that become one when, from
+    the deepest level up, the alike subtrees of each parent become one branch."""
+    leaves = leaves.withColumn("_branch", F.col("template"))
+    for level in reversed(branching_levels(leaves, 2)):
+        here = leaves.withColumns(
+            {"_parent": F.slice("_branch", 1, level), "_child": F.get("_branch", F.lit(level))}
+        )
+        subtrees = here.filter(F.col("_child").isNotNull()).groupBy("host", "_parent", "_child").agg(
+            F.sum("n").alias("n"), F.sum("b").alias("b")
+        )
+        pooled = subtrees.groupBy(F.col("host").alias("_h"), F.col("_parent").alias("_p")).agg(
+            F.sum("n").alias("_n"), F.sum("b").alias("_b")
+        )
+        alike = (
+            subtrees.join(pooled, (F.col("host") == F.col("_h")) & (F.col("_parent") == F.col("_p")))
+            .filter(is_alike(z_squared))
+            .select("_h", "_p", F.col("_child").alias("_c"))
+        )
+        joined = here.join(
+            alike, (F.col("host") == F.col("_h")) & (F.col("_parent") == F.col("_p")) & (F.col("_child") == F.col("_c")), "left"
+        )
+        rest = F.slice("_branch", F.lit(level + 2), F.greatest(F.size("_branch") - (level + 1), F.lit(0)))
+        one = F.concat("_parent", F.array(F.lit(MERGED)), rest)
+        branch = F.when(F.col("_c").isNotNull(), one).otherwise(F.col("_branch"))
+        leaves = cut(joined.select("host", "template", "n", "b", branch.alias("_branch")), "url-branches")
+    pooled = leaves.groupBy(F.col("host").alias("_h"), F.col("_branch").alias("_p")).agg(
+        F.sum("n").alias("_n"), F.sum("b").alias("_b")
+    )
+    joined = leaves.join(pooled, (F.col("host") == F.col("_h")) & (F.col("_branch") == F.col("_p")))
+    return joined.select("host", F.array_join("template", "/").alias("template"), F.col("_n").alias("n"), F.col("_b").alias("b"))
+
+
 def judge_templates(
     counted: DataFrame,
-    depth: int,
+    depth: int | None,
     min_children: int,
     max_mean: int,
     prior: int,
     max_bad_percent: int,
     z_squared: int,
+    inner: bool = False,
 ) -> DataFrame:
     """``host``, ``lexical``, ``template`` and ``rejected`` from rows of ``host``,
     ``lexical`` (array of segments), ``pages``, ``labelled`` and ``bad``."""
     nodes = counted.withColumn("template", F.col("lexical"))
-    for level in range(depth):
+    levels = range(depth) if depth is not None else branching_levels(nodes, min_children)
+    for done, level in enumerate(levels, 1):
         nodes = generalise(nodes, level, min_children, max_mean)
-    nodes = cut(nodes.withColumn("template", F.array_join("template", "/")), "templates")
-    leaves = nodes.groupBy("host", "template").agg(
-        F.sum("pages").alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("b")
-    )
-    # Siblings end in the same parent; with pooled counts N and B, a branch belongs to the
-    # pool if (b/n - B/N)^2 * n <= z^2 * B/N * (1 - B/N), in whole numbers.
-    leaves = leaves.withColumn("parent", F.regexp_replace("template", r"(^|/)[^/]*$", ""))
-    pooled = leaves.groupBy(F.col("host").alias("_h"), F.col("parent").alias("_p")).agg(
-        F.sum("n").alias("_n"), F.sum("b").alias("_b")
-    )
-    wide = lambda c: F.col(c).cast("decimal(19,0)")
-    gap = wide("b") * wide("_n") - wide("_b") * wide("n")
-    alike = gap * gap <= z_squared * wide("_b") * (wide("_n") - wide("_b")) * wide("n")
-    joined = leaves.join(pooled, (F.col("host") == F.col("_h")) & (F.col("parent") == F.col("_p"))).withColumn("_alike", alike)
-    merged = joined.filter("_alike").groupBy("_h", "_p").agg(F.sum("n").alias("_mn"), F.sum("b").alias("_mb"))
-    judged = joined.drop("_h", "_p").join(merged, (F.col("host") == F.col("_h")) & (F.col("parent") == F.col("_p")), "left")
-    n = F.when(F.col("_alike"), F.col("_mn")).otherwise(F.col("n"))
-    b = F.when(F.col("_alike"), F.col("_mb")).otherwise(F.col("b"))
+        if done % 6 == 0 and done < len(levels):  # bounds the plan of very deep paths
+            nodes = cut(nodes, "templates")
+    nodes = cut(nodes, "templates")
+    leaves = nodes.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    judged = pool_subtrees(leaves, z_squared) if inner else pool_siblings(leaves, z_squared)
+    nodes = nodes.withColumn("template", F.array_join("template", "/"))
     overall = counted.agg(F.struct(F.sum("labelled").alias("all"), F.sum("bad").alias("bad"))).scalar()
     # (b + prior * share) / (n + prior) >= limit, with share = all_bad / all.
-    judged = judged.select("host", "template", n.alias("n"), b.alias("b"), overall.alias("_all"))
+    judged = judged.select("host", "template", "n", "b", overall.alias("_all"))
     smoothed = 100 * (F.col("b") * F.col("_all.all") + prior * F.col("_all.bad")) >= max_bad_percent * F.col("_all.all") * (F.col("n") + prior)
     verdicts = judged.select(
         F.col("host").alias("_vh"), F.col("template").alias("_vt"),
@@ -155,15 +217,18 @@ def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
     rules: Sequence[Rule] = RULES,
-    depth: int = 6,
+    depth: int | None = 6,
     min_children: int = 8,
     max_mean: int = 2,
     prior: int = 10,
     max_bad_percent: int = 50,
     z_squared: int = 4,
+    inner: bool = False,
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``template``, ``rule`` and ``verdict``.
 
+    ``depth`` of ``None`` takes whole paths; ``inner`` merges alike subtrees at every level.
+
     ``labels`` has ``page_id`` and ``bad`` (boolean). Added columns replace input columns
     of the same name.
     """
@@ -187,7 +252,7 @@ def filter_urls(
         "url-templates",
     )
     judged = cut(
-        judge_templates(counted, depth, min_children, max_mean, prior, max_bad_percent, z_squared), "url-verdicts"
+        judge_templates(counted, depth, min_children, max_mean, prior, max_bad_percent, z_squared, inner), "url-verdicts"
     ).select(F.col("host").alias("_jh"), "lexical", "template", "rejected")
     joined = ruled.join(judged, (F.col("host") == F.col("_jh")) & (F.col("_lexical") == F.col("lexical")), "left")
     own_verdict = F.when(F.coalesce("rejected", F.lit(False)), "block").otherwise("allow")

@@ -1,3 +1,4 @@
+import random
 import re
 
 from tallyfold.llm import url_filters as U
@@ -74,6 +75,56 @@ def test_like_siblings_pool_their_labels(spark):
     assert {r["verdict"] for i, r in found.items() if i < 80} == {"block"}
 
 
+def test_like_subtrees_pool_their_labels(spark):
+    # Four languages with 3 bad of 3 pages each say little alone and enough together.
+    rows = [(10 * k + i, f"http://h.net/{lang}/{i}") for k, lang in enumerate(("en", "de", "fr", "es")) for i in range(3)]
+    rows += [(100 + i, f"http://g.net/{i}") for i in range(68)]
+    labels = [(i, i < 100) for i, _ in rows]
+    found = judged(spark, rows, labels, depth=None, inner=True)
+    assert {i for i, r in found.items() if r["verdict"] == "block"} == {i for i, _ in rows if i < 100}
+    assert found[0]["template"] == "en/*"
+
+
+def plain_branches(leaves, z_squared=4):
+    """Templates (tuples) of one host with n and b, to the counts of the branch each falls in."""
+    branch = {t: t for t in leaves}
+    for level in reversed(range(max(map(len, leaves)))):
+        trees = {}
+        for t, own in branch.items():
+            if len(own) > level:
+                n, b = trees.setdefault(own[:level], {}).get(own[level], (0, 0))
+                trees[own[:level]][own[level]] = n + leaves[t][0], b + leaves[t][1]
+        for t, own in branch.items():
+            if len(own) > level:
+                around = trees[own[:level]].values()
+                big_n, big_b, (n, b) = sum(x for x, _ in around), sum(x for _, x in around), trees[own[:level]][own[level]]
+                if (b * big_n - big_b * n) ** 2 <= z_squared * big_b * (big_n - big_b) * n:
+                    branch[t] = (*own[:level], None, *own[level + 1 :])
+    return {t: tuple(sum(leaves[o][k] for o in leaves if branch[o] == branch[t]) for k in (0, 1)) for t in leaves}
+
+
+def test_subtrees_equal_brute_force(spark):
+    rng = random.Random(5)
+    hosts = {}
+    for h in range(12):
+        for _ in range(15):
+            t = tuple(rng.choice("abc*") for _ in range(rng.randint(0, 9)))
+            n = rng.choice([0, 1, 3, 20])
+            hosts.setdefault(f"h{h}", {})[t] = (n, rng.choice([0, n, rng.randint(0, n)]))
+    rows = [(h, list(t), n, b) for h, leaves in hosts.items() for t, (n, b) in leaves.items()]
+    frame = spark.createDataFrame(rows, "host string, template array<string>, n long, b long")
+    got = {(r["host"], r["template"]): (r["n"], r["b"]) for r in U.pool_subtrees(frame, 4).collect()}
+    assert got == {(h, "/".join(t)): x for h, leaves in hosts.items() for t, x in plain_branches(leaves).items()}
+
+
+def test_whole_paths(spark):
+    deep = "http://h.net/" + "/".join("abcdefghij")
+    assert judged(spark, [(1, deep)], depth=None, inner=True)[1]["template"] == "a/b/c/d/e/f/g/h/i/j"
+    rows = [(i, f"http://h.net/a/b/c/d/e/f/g/{x}/p") for i, x in enumerate("abcdefghijkl")]
+    assert judged(spark, rows, depth=None, inner=True)[0]["template"] == "a/b/c/d/e/f/g/*/p"
+    assert judged(spark, [], depth=None, inner=True) == {}
+
+
 def test_repeats_deep_paths_and_no_rows(spark):
     deep = "http://h.net/" + "/".join("abcdefghij") + "/" + "k" * 50_000
     found = judged(spark, [(1, deep), (1, deep), (None, deep)])
