@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.llm.common import cut
 
@@ -239,15 +240,15 @@ def _same(x: DataFrame, y: DataFrame) -> bool:
     return mark(x) == mark(y)
 
 
-def near_duplicates(
+def _grouped(
     docs: DataFrame,
     text_col: str = "text",
     max_bits: int = 4,
     blocks: int = 6,
     shingle_words: int = 4,
     max_bucket: int = 20_000,
-) -> DataFrame:
-    """``doc_id``, ``fp`` (signed long), ``fingerprint`` (16 hex digits), ``component_id``."""
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``fp`` of each row; ``fp``, ``root`` and ``component_id`` of each fingerprint."""
     marked = cut(fingerprints(docs, text_col, shingle_words), "fingerprints")
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(link_fingerprints(distinct.select("fp"), max_bits, blocks, max_bucket))
@@ -255,28 +256,58 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = cut(rooted.join(named, "root").select("fp", "component_id"), "classes")
+    return marked, cut(rooted.join(named, "root").select("fp", "root", "component_id"), "classes")
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id``, ``fp`` (signed long), ``fingerprint`` (16 hex digits), ``component_id``.
+
+    Options are those of ``_grouped``: ``text_col``, ``max_bits``, ``blocks``,
+    ``shingle_words`` and ``max_bucket``.
+    """
+    marked, classes = _grouped(docs, **options)
     return marked.join(classes, "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group stays: the one of the smallest doc_id.
-
-    Rows that repeat that doc_id count as one document and leave one row, the least by
-    all its columns as text. Rows without a doc_id stay only if their group has no other.
+def drop_near_duplicates(docs: DataFrame, text_col: str = "text", shingle_words: int = 4, **options) -> DataFrame:
+    """One document of each group stays: the one of the smallest doc_id, or of none if no
+    document of the group has one; of several such rows the least by all columns as text.
     """
-    found = near_duplicates(docs, **options)
-    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(stays.alias("_stays"), F.count("*").alias("_rows"))
+    marked, classes = _grouped(docs, text_col=text_col, shingle_words=shingle_words, **options)
+    stays = F.bool_or(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    ids = marked.filter("doc_id is not null").join(classes, "fp").groupBy(F.col("doc_id").alias("_id")).agg(
+        stays.alias("_stays"), F.count("*").alias("_rows")
+    )
     # Few documents go and fewer are repeated, so the texts are held against those ids.
-    marked = cut(ids.filter(~F.col("_stays") | (F.col("_rows") > 1)), "marked")
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    once = docs.join(marked, same, "left_anti")
-    repeated = cut(marked.filter("_stays"), "repeated")
-    if repeated.isEmpty():
-        return once
-    least = F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns)))
-    again = docs.join(repeated, same, "left_semi").groupBy("doc_id").agg(least.alias("_row"))
-    return once.unionByName(again.select("_row.*"))
+    changed = cut(ids.filter(~F.col("_stays") | (F.col("_rows") > 1)), "marked")
+    same = F.col("doc_id") == F.col("_id")
+    once = docs.filter("doc_id is not null").join(changed, same, "left_anti")
+    # An id of several rows, or none, does not tell which group a row is of; its text does.
+    repeated = cut(changed.filter("_stays"), "repeated")
+    unclear = []
+    if not repeated.isEmpty():
+        unclear.append(docs.join(repeated, same, "left_semi"))
+    if not classes.filter("component_id is null").isEmpty():
+        unclear.append(docs.filter("doc_id is null"))
+    for some in unclear:
+        found = _with_fingerprints(some, text_col, shingle_words).join(classes, "fp")
+        heads = found.filter(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+        again = heads.groupBy("root").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        once = once.unionByName(again.select("row.*"))
+    return once
+
+
+def _with_fingerprints(docs: DataFrame, text_col: str, shingle_words: int) -> DataFrame:
+    """``row``, all columns of a document, and ``fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.fromiter(
+                (fingerprint(t.as_py(), shingle_words) for t in batch.column(1)), np.uint64, batch.num_rows
+            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["row", "fp"])
+
+    chosen = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    return chosen.mapInArrow(run, T.StructType([chosen.schema["row"], T.StructField("fp", T.LongType())]))

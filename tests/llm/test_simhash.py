@@ -101,6 +101,27 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.count(11) == 1
 
 
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    rng = random.Random(9)
+    a, b, c, d, e, f = ("".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(6))
+    rows = [
+        (None, a), (None, b), (None, b),  # groups without an id
+        (None, c), (7, c),  # an id comes before none
+        (5, d), (9, e), (5, e), (9, d), (5, d),  # an id with two texts heads two groups
+        (2, f), (3, f), (3, a + " " + b), (1, ""), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "x", "y", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, fp string, n_chars long")
+    texts = {plain(t) for _, t in rows}
+    root = roots(texts, 4)
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        best.setdefault(root[plain(t)], []).append((i is None, i or 0, k))
+    kept = [r["n_chars"] for r in S.drop_near_duplicates(docs).collect()]
+    assert len(best) == 8
+    assert sorted(kept) == sorted(min(x)[2] for x in best.values())
+    assert S.drop_near_duplicates(docs).schema == docs.schema
+
+
 def test_no_rows(spark):
     assert S.near_duplicates(no_docs(spark)).count() == 0
     assert S.drop_near_duplicates(no_docs(spark)).count() == 0
