@@ -6,9 +6,10 @@ before shows a template that rewrites history, and the turn is marked so. Where
 lies inside its span is found by rendering two probe texts in its place.
 
 Conversations are ordered by ``(conversation, turn)`` inside partitions and walked as a
-stream: a task holds ``context`` turns and one batch, whatever the length of a
-conversation. ``context`` is how far back the template looks; ``None`` renders whole
-prefixes, for templates nothing is known of.
+stream. Whole prefixes are rendered (``context=None``), which takes time with the square of
+a conversation's length. A template declared with ``looks_back(n)`` only appends, by at
+most ``n`` turns before, and may be given a ``context`` of ``n`` or more turns: then a task
+holds those and one batch, whatever the length of a conversation.
 
 Defined results: a null text or role counts as empty; turns of equal number are ordered by
 role, then text; a repeated row is one more turn; a null conversation id is a conversation
@@ -45,6 +46,18 @@ def unescape(text: str) -> str:
     return re.sub(rf"\\(?=\\*{_CONTROL})(?<!\\\\)", "", text)
 
 
+def looks_back(turns: int) -> Callable[[Template], Template]:
+    """Declares that what a turn adds to the output depends on it and at most so many turns
+    before it, and that earlier output is never rewritten."""
+
+    def declare(template: Template) -> Template:
+        template.looks_back = turns
+        return template
+
+    return declare
+
+
+@looks_back(0)
 def instruction_template(turns: Sequence[Turn]) -> str:
     """Marks every turn by its role; texts are set off by one space at both ends."""
     out = []
@@ -112,12 +125,15 @@ FORMATTED = "conv_id long, turn long, role string, formatted string, text_start
 def format_turns(
     conversations: DataFrame,
     template: Template = instruction_template,
-    context: int | None = 1,
+    context: int | None = None,
     trained_roles: Sequence[str] = ("assistant",),
 ) -> DataFrame:
     """One row per turn, in order inside its partition: the piece of output it adds, the
     place of its text in that, whether that text is under the loss mask, and whether the
-    template rewrote earlier output there."""
+    template rewrote earlier output there. ``context`` needs a template that looks back no
+    further; without it whole prefixes are rendered."""
+    if context is not None and context < getattr(template, "looks_back", float("inf")):
+        raise ValueError("a context needs a template declared to look back no further")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: list[Turn] = []

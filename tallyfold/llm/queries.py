@@ -59,7 +59,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.digest_conversations(chat.format_turns(chats.unionByName(added)))
+    return chat.digest_conversations(chat.format_turns(chats.unionByName(added), context=1))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

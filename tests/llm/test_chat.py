@@ -78,5 +78,29 @@ def test_rewritten_turns_are_marked(spark):
     assert [r["rewrites"] for r in rows] == [False, True] and not rows[1]["trained"]
 
 
+def last_four(turns):
+    return "".join(f"<{r}>{t}" for r, t in turns[-4:])
+
+
+@pytest.mark.parametrize("template", [numbered, forgetful, last_four])
+def test_templates_that_look_back_get_whole_prefixes(spark, template):
+    turns = [(("user", "assistant")[i % 2], f"said {i}") for i in range(7)]
+    frame = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], SCHEMA)
+    rows = C.format_turns(frame, template).orderBy("turn").collect()
+    want = [C.locate(template, turns[:i], turn) for i, turn in enumerate(turns)]
+    assert [(r["formatted"], r["text_start"], r["text_end"], r["rewrites"]) for r in rows] == [tuple(x) for x in want]
+    if template is numbered:
+        assert "".join(r["formatted"] for r in rows) == numbered(turns)
+    if template is last_four:
+        assert [r["rewrites"] for r in rows] == [False] * 4 + [True] * 3
+
+
+def test_a_context_needs_a_declared_template(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "hi")], SCHEMA)
+    for template, context in ((numbered, 1), (C.looks_back(2)(lambda turns: numbered(turns[-3:])), 1)):
+        with pytest.raises(ValueError):
+            C.format_turns(frame, template, context=context)
+
+
 def test_no_rows(spark):
     assert C.digest_conversations(C.format_turns(spark.createDataFrame([], SCHEMA))).count() == 0
