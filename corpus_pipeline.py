@@ -34,10 +34,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training rows: piece ids and their number, instead of the text."""
+    """The training rows: piece ids and their number, instead of the text, and whether they
+    decode to it."""
     proto = pieces.read_model()
-    rows = pieces.encode(docs, proto)
-    return rows.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
+    rows = pieces.decode(pieces.encode(docs, proto), proto)
+    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless")
+    )
 
 
 STAGES = [
