@@ -9,6 +9,8 @@ from tallyfold.session import new_work_dir
 
 # Fixed value: a word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+BETWEEN_WORDS = r"[\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
 
@@ -30,7 +32,8 @@ def text_of(name: str = "text") -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """Taking out what lies between words is many times as fast as extracting them."""
+    return F.array_remove(F.split(text, BETWEEN_WORDS), "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -276,4 +276,137 @@ from l join g on l.host = g.host and l.lexical = g.lexical
 join ve on g.host = ve.host and g.template = ve.template
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5, "op8_topk": OP8, "op9_url_filters": OP9}
+_LOWER_AZ = f"'{UPPER}', '{LOWER}'"
+_TEST_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+OP11 = f"""
+with it as (
+  select coalesce(item_id::varchar, '') as item, regexp_extract_all(translate(coalesce(text, ''), {_LOWER_AZ}), '{_TEST_WORD}') as w
+  from benchmark
+),
+win as (
+  select distinct item, l, array_to_string(w[i + 1 : i + l], ' ') as g
+  from (select item, w, least(len(w), 10) as l, unnest(range(0, len(w) - least(len(w), 10) + 1)) as i from it where len(w) > 0)
+),
+lens as (select distinct l from win),
+d as (
+  select row_number() over () as row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER_AZ}), '{_TEST_WORD}') as w
+  from documents
+),
+probes as (
+  select row_id, l, i, array_to_string(w[i + 1 : i + l], ' ') as g
+  from (select row_id, w, l, unnest(range(0, greatest(len(w) - l + 1, 0))) as i from d, lens)
+),
+hits as (select p.row_id, p.i, p.l, win.item from probes p join win on p.l = win.l and p.g = win.g),
+words as (select row_id, count(distinct k) as n_hit from (select row_id, unnest(range(i, i + l)) as k from hits) group by row_id),
+items as (
+  select row_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+  from (select distinct row_id, item from hits) group by row_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (row_id) left join items using (row_id)
+"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a varchar expression; needs ``crc`` joined in,
+    one row with the table that the polynomial gives."""
+    byte = f"(16 * (instr('0123456789ABCDEF', substr(hex({text}), 2 * i - 1, 1)) - 1) + instr('0123456789ABCDEF', substr(hex({text}), 2 * i, 1)) - 1)"
+    bytes_ = f"list_transform(range(1, length(hex({text})) // 2 + 1), lambda i: {byte}::bigint)"
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, crc_t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)"
+
+
+# The table of CRC-32 from its polynomial.
+_CRC = """
+crc as (
+  select list_transform(range(0, 256), lambda i: list_reduce(range(0, 8),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i::bigint)) as crc_t
+)"""
+
+OP12 = f"""
+with recursive {_CRC},
+runs as (
+  select coalesce(doc_id::varchar, '') || ':' as d, translate(r, {_LOWER_AZ}) as r
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as r from documents)
+  where length(r) >= 7
+),
+hashed as (select r, {_crc32('d || r')} as h from runs, crc),
+words as (select case when h % 31 = 0 then substr(r, 1, (h % length(r))::int) || substr(r, (h % length(r))::int + 2) else r end as w from hashed),
+v as (select w, count(*) as n from words where length(w) >= 7 group by w having count(*) >= 2),
+cutting as (
+  select w, n, p, substr(w, 1, p - 1) || substr(w, p + 1) as e from (select w, n, unnest(range(1, length(w) + 1)) as p from v)
+),
+pairs as (
+  select distinct c.w as a, v.w as b from cutting c join v on c.e = v.w
+  union
+  select distinct x.w, y.w from cutting x join cutting y on x.p = y.p and x.e = y.e and x.w <> y.w and length(x.w) = length(y.w)
+),
+near as (select a as w, b as o from pairs union select b, a from pairs),
+best as (
+  select near.w, count(*) as n_near, min((-v.n, encode(near.o), near.o)) as b from near join v on near.o = v.w group by near.w
+),
+formed as (
+  select v.w, v.n, coalesce(n_near, 0) as n_near,
+         case when -b[1] >= 10 * v.n then b[3] end as form, case when -b[1] >= 10 * v.n then -b[1] end as form_n
+  from v left join best using (w)
+),
+chain as (
+  select w, w as at from formed
+  union all
+  select chain.w, formed.form from chain join formed on chain.at = formed.w where formed.form is not null
+)
+select f.w as word, f.form, c.at as root, f.n::bigint as n, f.n_near::bigint as n_near, f.form_n::bigint as form_n
+from formed f join chain c using (w) join formed last on last.w = c.at and last.form is null
+"""
+
+OP13 = f"""
+with recursive {_CRC},
+t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place
+  from conversations where conv_id is not null
+),
+own as (select conv_id, count(*) as n from t group by conv_id),
+shaped as (
+  select o.conv_id, o.conv_id - o.conv_id % 100 as base, h, least(h, coalesce(b.n, 0)) as m
+  from (select conv_id, {_crc32('conv_id::varchar')} % 6 as h from own, crc) o left join own b on b.conv_id = o.conv_id - o.conv_id % 100
+),
+rebuilt as (
+  select s.conv_id, t.place, role, text from shaped s join t on t.conv_id = s.base and t.place <= s.m
+  union all
+  select s.conv_id, t.place - h + m, role, text from shaped s join t using (conv_id) where t.place > h
+),
+memb as (
+  select conv_id, 0::bigint as depth, []::struct(r varchar, x varchar)[] as k, '' as text from shaped
+  union all
+  select m.conv_id, m.depth + 1, list_append(m.k, {{'r': r.role, 'x': r.text}}), r.text
+  from memb m join rebuilt r on r.conv_id = m.conv_id and r.place = m.depth + 1
+),
+ends as (
+  select depth, k, string_agg(conv_id::varchar, ',' order by conv_id) as listed
+  from (select m.*, max(depth) over (partition by conv_id) as last from memb m) where depth = last group by depth, k
+),
+node as (select depth, k, min(conv_id) as conv_id, count(*) as n_convs, any_value(text) as text from memb group by depth, k),
+numbered as (select *, row_number() over () as id from node),
+linked as (
+  select n.*, p.id as parent, p.conv_id as parent_conv_id from numbered n left join numbered p on p.depth = n.depth - 1 and p.k = n.k[: n.depth - 1]
+),
+kids as (select parent as id, count(*) as n_children from linked where parent is not null group by parent),
+base as (
+  select l.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * length(text) as saved from linked l left join kids using (id)
+),
+up as (
+  select id, id as top, parent, n_children, saved from base
+  union all
+  select up.id, b.id, b.parent, up.n_children, up.saved from up join base b on b.id = up.parent
+),
+total as (select top as id, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens from up group by top)
+select b.conv_id, b.depth, parent_conv_id, n_convs::bigint as n_convs, n_children::bigint as n_children, n_leaves::bigint as n_leaves,
+       saved_tokens::bigint as saved_tokens, sha256(coalesce(listed, '')) as ends_sha256
+from base b join total using (id) left join ends e on e.depth = b.depth and e.k = b.k
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1, "op4_mixing": OP4, "op5_line_dedup": OP5, "op8_topk": OP8, "op9_url_filters": OP9, "op11_decontamination": OP11, "op12_spelling": OP12,
+    "op13_prefix_trie": OP13,
+}

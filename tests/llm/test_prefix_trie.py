@@ -1,0 +1,111 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tallyfold.llm import prefix_trie as P
+from tallyfold.llm import queries as Q
+
+ROWS = "conv_id long, turn long, role string, text string, node string"
+
+
+def ordered(rows):
+    said = defaultdict(list)
+    for conv, turn, role, text, _ in rows:
+        if conv is not None:
+            said[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [t[2:] for t in sorted(turns)] for c, turns in said.items()}
+
+
+def rebuilt(said):
+    out = {}
+    for c, own in said.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (abs(c) % 100 if c >= 0 else -(abs(c) % 100))
+        out[c] = said.get(base, [])[:h] + own[h:]
+    return out
+
+
+def brute(said):
+    members = defaultdict(list)
+    for c, turns in said.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    leaves, saved, kids = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            kids[node[:-1]] += 1
+    for node, convs in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in kids
+            saved[node[:d]] += (len(convs) - 1) * (len(node[-1][1]) if node else 0)
+    rows = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(said[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        rows.append((min(convs), len(node), parent, len(convs), kids[node], leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(rows, key=str)
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def result(frame):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in frame.collect()), key=str)
+
+
+def chats(seed=4):
+    rng = random.Random(seed)
+    rows = []
+    for conv in [*range(0, 40), *range(100, 130), *range(205, 215), -7, -100, 9000]:
+        for turn in range(rng.randint(1, 9)):
+            rows.append((conv, turn if rng.random() < 0.9 else None, rng.choice(["user", "assistant", None]), rng.choice(["a", "bé", "", None]), "x"))
+    rows += [(300, 0, "user", "again", "x")] * 50 + [(None, 1, "user", "lost", "x")] * 20
+    rows += [(c, t, "user", "same start", "x") for c in range(400, 440) for t in range(4)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 4])
+def test_query_equals_brute_force(spark, block, monkeypatch, tmp_path):
+    monkeypatch.setattr(P, "BLOCK", block)
+    rows = chats()
+    spark.createDataFrame(rows, ROWS).repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    want = brute(rebuilt(ordered(rows)))
+    assert result(Q.op13_prefix_trie(spark, str(tmp_path))) == want
+    assert any(r[4] == 0 and r[1] == 0 for r in want) is False and len(want) > 200
+
+
+def test_turns_are_numbered_over_ranges(spark):
+    rows = chats() + [(500, i % 3, "user", "x" * (i % 5), "x") for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = P.number_turns(spark.createDataFrame(rows, ROWS).repartition(4)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    places = defaultdict(dict)
+    for r in found:
+        places[r["conv_id"]][r["place"]] = r["chars"]
+    assert {c: [p[k] for k in sorted(p)] for c, p in places.items()} == {c: [len(t) for _, t in turns] for c, turns in ordered(rows).items()}
+    assert all(sorted(p) == list(range(1, len(p) + 1)) for p in places.values())
+
+
+@pytest.mark.parametrize("shape", ["chain", "random", "star"])
+def test_contraction_gives_subtree_sums(spark, shape):
+    rng = random.Random(6)
+    n = 60
+    parent = [None] + [{"chain": i - 1, "random": rng.randrange(max(0, i - 3), i), "star": 0}[shape] for i in range(1, n)]
+    own = [rng.randint(-5, 9) for _ in range(n)]
+    total = own[:]
+    for i in range(n - 1, 0, -1):
+        total[parent[i]] += total[i]
+    frame = spark.createDataFrame([(7 * i, None if p is None else 7 * p, own[i]) for i, p in enumerate(parent)], "node long, parent long, v long")
+    found = P.subtree_totals(frame, ["v"]).collect()
+    assert sorted((r["node"] // 7, r["v"]) for r in found) == list(enumerate(total))
+
+
+def test_no_conversations_give_no_nodes(spark, tmp_path):
+    spark.createDataFrame([(None, 1, "user", "x", "x")], ROWS).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert Q.op13_prefix_trie(spark, str(tmp_path)).count() == 0

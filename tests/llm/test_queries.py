@@ -12,7 +12,7 @@ NAMES = {n for n in contract.queries() if re.match(r"op\d+_|pipeline$", n)}
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES - {"pipeline"}) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES - {"pipeline"}) == list(range(1, 14))
     assert "pipeline" in NAMES
 
 
@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, name):
     columns = sorted(frame.columns)
     got = ordered([tuple(plain(r[c]) for c in columns) for r in frame.collect()])
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "benchmark", "conversations"):
         connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     cursor = connection.execute(contract.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
