@@ -13,7 +13,8 @@ The prefix is found from sums over about sqrt(n) ranges of the order, so no leaf
 sorted or summed in one task; only the range that the cut falls into is.
 
 Defined results: null texts have no tokens; null language or source is a node of its own;
-nodes without a weight get ``default_weight``; rows with the same doc_id share one place
+nodes without a weight get ``default_weight``; a node of
+weight 0 is left out with all below it; rows with the same doc_id share one place
 in the order and are taken or left together; a document without tokens is taken in each
 epoch in which its place is reached; leaves with budget 0, and empty tables, give no rows.
 """
@@ -61,7 +62,7 @@ def share_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     what their lighter-supplied siblings leave over are used up; the others share the rest.
     """
     peers = W.partitionBy(*parent)
-    ahead = peers.orderBy(F.col("supply") / F.col("weight"), F.col(name).asc_nulls_first())
+    ahead = peers.orderBy(F.col("supply") / F.greatest("weight", F.lit(1).cast(_WIDE)), F.col(name).asc_nulls_first())
     before = ahead.rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast(_WIDE)
     staged = nodes.withColumns(
@@ -75,7 +76,7 @@ def share_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     full = F.coalesce(F.sum(F.when(F.col("_short"), F.col("supply"))).over(peers), zero)
     open_ = F.coalesce(F.sum(F.when(~F.col("_short"), F.col("weight"))).over(peers), zero)
     staged = staged.withColumns({"_full": full, "_open": open_})
-    rest = F.expr("weight * (budget - _full) div _open")
+    rest = F.expr("weight * (budget - _full) div greatest(_open, 1)")
     share = F.when(F.col("_short"), F.col("supply")).otherwise(rest)
     return staged.withColumn("share", share.cast(_WIDE)).drop("_used", "_weights", "_short", "_full", "_open")
 
@@ -84,7 +85,11 @@ def budgets(
     leaves: DataFrame, budget_percent: int, weights: Mapping[tuple, int], default_weight: int, max_epochs: int
 ) -> DataFrame:
     """Adds each leaf's ``budget`` to rows of ``PATH``, ``tokens`` and ``docs``."""
-    sums = leaves.withColumn("supply", (F.col("tokens") * max_epochs).cast(_WIDE))
+    left_out = F.lit(False)
+    for level in range(len(PATH)):
+        left_out |= _weight(level, weights, default_weight) == 0
+    # What lies below a weight of 0 supplies nothing, so its share is 0.
+    sums = leaves.withColumn("supply", F.when(left_out, 0).otherwise(F.col("tokens") * max_epochs).cast(_WIDE))
     total = sums.agg(F.least(F.expr(f"sum(tokens) * {budget_percent} div 100").cast(_WIDE), F.sum("supply")))
     above, parent = None, []
     for level, name in enumerate(PATH):

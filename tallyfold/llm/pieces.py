@@ -2,19 +2,21 @@
 
 Merges run from an agenda: the adjacent pair whose piece scores best comes first, the
 leftmost of equals. Each candidate taken from the agenda is skipped if a hash of seed,
-stream, chunk, place and piece falls below the dropout; a skipped candidate is gone until
-a merge beside it makes a new one. A chunk is a run of spaces with the characters up to
-the next space; no piece of such a model crosses that border (checked when the model is
-read), so chunks can be encoded apart. Every chunk of a document draws one of ``streams``
-by seed, doc_id and its number, so the same word is cut in different ways, and a task can
-keep the cuts it has made.
+document, number of the chunk, place and piece falls below the dropout; a skipped candidate
+is gone until a merge beside it makes a new one. A chunk is a run of spaces with the
+characters up to the next space; no piece of such a model crosses that border (checked when
+the model is read), so chunks can be encoded apart. Every occurrence of a word has draws of
+its own. A task keeps the merges of a chunk without dropout: draws are held against those
+candidates first, and only occurrences of which one is skipped run their agenda again.
 
 Decoding gives back the text exactly: spaces are the only characters a piece writes
 differently, one space is put before a text and taken off again, and characters outside
 the vocabulary (a literal U+2581 among them) become byte pieces.
 
 Defined results: a null or empty text has no pieces, and no pieces decode to an empty
-text; a null doc_id counts as the empty string; repeated rows are encoded alike.
+text; a null doc_id counts as the empty string; repeated rows are encoded alike unless an
+``occurrence`` tells them apart. The input's columns travel in one struct and cannot clash;
+``pieces`` and ``decoded`` replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -28,14 +30,13 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BITS = (1 << 64) - 1
-_KEPT_CUTS = 200_000  # cached chunks of a task, all streams together
-_LONGEST_KEPT = 64
+_KEPT_CUTS = 200_000  # chunks whose merges a task keeps
 _WIDEST = 24  # characters of chunks that are cut many at a time
 _BLOCK = 1 << 19
 
@@ -81,8 +82,9 @@ class PieceModel:
         self.pairs = np.array(sorted(made), np.int64)
         self.made = np.array([made[x] for x in self.pairs.tolist()], np.int32)
 
-    def cut_many(self, chunks: list[str], keys: np.ndarray, limit: int = 0) -> list[bytes]:
+    def cut_many(self, chunks: list[str], keys: np.ndarray, limit: int = 0, taken: list | None = None) -> list[bytes]:
         """``cut`` of many chunks at once, each with its key, as bytes of 32-bit ids.
+        ``taken`` gets arrays of chunk number, place and piece of the candidates met.
 
         A round takes the best candidate of every chunk's agenda: the pair of least rank,
         the leftmost of equals. Chunks that are long or need byte pieces are cut singly.
@@ -94,20 +96,22 @@ class PieceModel:
         starts = np.concatenate(([0], np.cumsum(sizes)))
         unknown = np.concatenate(([0], np.cumsum(symbols < 0)))
         easy = (sizes <= _WIDEST) & (unknown[starts[1:]] == unknown[starts[:-1]]) & (sizes > 0)
+        if taken is not None:
+            taken.append(easy)
         for i in np.flatnonzero(~easy).tolist():
             found[i] = np.array(self.cut(chunks[i], int(keys[i]), limit), np.int32).tobytes()
         for low, high in ((0, 6), (6, 12), (12, _WIDEST)):  # little padding
             rows = np.flatnonzero(easy & (sizes > low) & (sizes <= high))
             for at in range(0, len(rows), 1 << 16):
                 part = rows[at : at + (1 << 16)]
-                flat, ends = self._cut_rows(symbols, starts[part], sizes[part], keys[part], limit)
+                flat, ends = self._cut_rows(symbols, starts[part], sizes[part], keys[part], limit, part, taken)
                 data, begin = flat.tobytes(), 0
                 for i, end in zip(part.tolist(), (4 * ends).tolist(), strict=True):
                     found[i] = data[begin:end]
                     begin = end
         return found
 
-    def _cut_rows(self, symbols, starts, sizes, keys, limit) -> tuple[np.ndarray, np.ndarray]:
+    def _cut_rows(self, symbols, starts, sizes, keys, limit, numbers, taken) -> tuple[np.ndarray, np.ndarray]:
         n, width = len(starts), int(sizes.max())
         columns = np.arange(width)
         inside = columns < sizes[:, None]
@@ -129,6 +133,8 @@ class PieceModel:
                 break
             piece = merged[rows, left]
             rank[rows, left] = none
+            if taken is not None:
+                taken.append((numbers[rows], left.astype(np.int32), self.symbol_ids[piece]))
             if limit:
                 kept = _draws(keys[rows], left, self.symbol_ids[piece]) >= np.uint64(limit) if limit < 1 << 64 else np.zeros(len(rows), bool)
                 at, left, piece = rows[kept], left[kept], piece[kept]
@@ -203,6 +209,14 @@ class PieceModel:
         surface = self.surface
         return b"".join([surface[i] for i in pieces])[1:].decode()
 
+    def decode_many(self, pieces: np.ndarray, ends: list[int]) -> list[str]:
+        """Texts of pieces that stand one after another, each up to its end."""
+        said, out, begin = list(map(self.surface.__getitem__, pieces.tolist())), [], 0
+        for end in ends:
+            out.append(b"".join(said[begin:end])[1:].decode())
+            begin = end
+        return out
+
 
 def _draw(key: int, left: int, piece: int) -> int:
     x = (key ^ (left * 0x9E3779B97F4A7C15) ^ (piece * 0xC2B2AE3D27D4EB4F)) & _BITS
@@ -221,74 +235,97 @@ def _draws(keys: np.ndarray, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with one seed; keeps the cuts of short chunks up to a bound."""
+    """Encodes texts with one seed; keeps the merges of chunks up to a bound."""
 
-    def __init__(self, model: PieceModel, dropout: float, seed: int, streams: int):
-        self.model, self.seed, self.streams = model, seed, streams
+    def __init__(self, model: PieceModel, dropout: float, seed: int):
+        self.model, self.seed = model, seed
         self.limit = int(dropout * (1 << 64))
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(streams)]
-        self.n_kept = 0
+        self._forget()
 
-    def stream_of(self, doc_key: str, n: int) -> int:
-        """Stream of a document's n-th chunk."""
-        return _draw(xxhash.xxh64_intdigest(doc_key, self.seed & _BITS), n, 0) % self.streams
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.cuts: list[bytes] = []
+        # Candidates of chunk i: from ends[i - 1] to ends[i]; -1 for chunks that are cut each time.
+        self.ends, self.sure = np.zeros(1, np.int64), np.zeros(0, bool)
+        self.left, self.piece = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
-    def _streams(self, doc_key: str, n: int) -> list[int]:
-        if not self.limit or self.streams == 1:
-            return [0] * n
+    def keys_of(self, doc_key: str, first: int, n: int) -> np.ndarray:
+        """Keys of a document's chunks from number ``first``."""
         with np.errstate(over="ignore"):
-            x = np.uint64(xxhash.xxh64_intdigest(doc_key, self.seed & _BITS)) ^ (np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            x = np.uint64(xxhash.xxh64_intdigest(doc_key, self.seed & _BITS)) ^ (np.arange(first, first + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-            return ((x ^ (x >> np.uint64(32))) % np.uint64(self.streams)).tolist()
-
-    def _cut_missing(self, units: list[tuple[list[str] | None, list[int] | None]]) -> list[dict[str, bytes]]:
-        """Cuts of all chunks of ``units`` by stream; short ones are kept for later."""
-        if self.n_kept >= _KEPT_CUTS:
-            self.kept, self.n_kept = [{} for _ in range(self.streams)], 0
-        missing: list[set[str]] = [set() for _ in range(self.streams)]
-        for chunks, streams in units:
-            for chunk, stream in zip(chunks or (), streams or (), strict=True):
-                if chunk not in self.kept[stream]:
-                    missing[stream].add(chunk)
-        long: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
-        for stream, wanted in enumerate(missing):
-            chunks, seed = list(wanted), (self.seed * self.streams + stream) & _BITS
-            digest = xxhash.xxh64_intdigest
-            keys = np.fromiter((digest(c, seed) for c in chunks), np.uint64, len(chunks)) if self.limit else np.zeros(len(chunks), np.uint64)
-            for chunk, cut in zip(chunks, self.model.cut_many(chunks, keys, self.limit), strict=True):
-                short = len(chunk) <= _LONGEST_KEPT
-                (self.kept if short else long)[stream][chunk] = cut
-                self.n_kept += short
-        return long
+            return x ^ (x >> np.uint64(32))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Merges without dropout of chunks not met before."""
+        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
+        if len(self.known) + len(new) > _KEPT_CUTS:
+            self._forget()
+            new = list(dict.fromkeys(chunks))
+        if not new:
+            return
+        taken: list = []
+        cuts = self.model.cut_many(new, np.zeros(len(new), np.uint64), 0, taken)
+        easy, met = taken[0], taken[1:]
+        number, left, piece = (np.concatenate([m[k] for m in met]) if met else np.zeros(0, np.int64) for k in range(3))
+        order = np.argsort(number, kind="stable")
+        self.left = np.concatenate([self.left, left[order].astype(np.int32)])
+        self.piece = np.concatenate([self.piece, piece[order].astype(np.int32)])
+        counts = np.bincount(number.astype(np.int64), minlength=len(new))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        self.sure = np.concatenate([self.sure, easy])
+        self.known.update(zip(new, range(len(self.cuts), len(self.cuts) + len(new)), strict=True))
+        self.cuts += cuts
+
+    def _cut_all(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        """Cuts of all occurrences, each with its own key."""
+        self._learn(chunks)
+        known, cuts = self.known, self.cuts
+        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        found = [cuts[i] for i in at.tolist()]
+        if not self.limit:
+            return found
+        counts = self.ends[at + 1] - self.ends[at]
+        before = np.concatenate(([0], np.cumsum(counts)))
+        spot = np.arange(before[-1]) + np.repeat(self.ends[at] - before[:-1], counts)
+        skipped = np.ones(len(spot), bool)
+        if self.limit < 1 << 64:
+            skipped = _draws(np.repeat(keys, counts), self.left[spot].astype(np.int64), self.piece[spot]) < np.uint64(self.limit)
+        so_far = np.concatenate(([0], np.cumsum(skipped)))
+        again = np.flatnonzero((so_far[before[1:]] > so_far[before[:-1]]) | ~self.sure[at])
+        for i, cut in zip(again.tolist(), self.model.cut_many([chunks[i] for i in again.tolist()], keys[again], self.limit), strict=True):
+            found[i] = cut
+        return found
 
     def encode_many(self, texts: Iterable[str], doc_keys: Iterable[str]) -> tuple[bytearray, list[int]]:
         """Piece ids of all texts one after another, as bytes, and how many end each text. Chunks are
         cut about half a million characters at a time; longer texts are walked block by block."""
-        out, ends, units, size = bytearray(), [], [], 0
+        out, ends, chunks, keys, marks, size = bytearray(), [], [], [], [], 0
 
         def flush() -> None:
             nonlocal size
-            long = self._cut_missing(units)
-            for chunks, streams in units:
-                if chunks is None:
-                    ends.append(len(out) // 4)
-                    continue
-                kept = self.kept
-                out.extend(b"".join([kept[s].get(c) or long[s][c] for c, s in zip(chunks, streams, strict=True)]))
-            units.clear()
+            cuts = self._cut_all(chunks, np.concatenate(keys)) if chunks else []
+            begin = 0
+            for mark in marks:
+                out.extend(b"".join(cuts[begin:mark]))
+                ends.append(len(out) // 4)
+                begin = mark
+            out.extend(b"".join(cuts[begin:]))
+            chunks.clear(), keys.clear(), marks.clear()
             size = 0
 
         for text, doc_key in zip(texts, doc_keys, strict=True):
             text, n, at = (" " + text if text else ""), 0, 0
             while at < len(text):
                 end = len(text) if len(text) - at <= _BLOCK else self._border(text, at + _BLOCK)
-                chunks = self.model.chunks.findall(text, at, end)
-                units.append((chunks, self._streams(doc_key, n + len(chunks))[n:]))
-                n, size, at = n + len(chunks), size + end - at, end
+                own = self.model.chunks.findall(text, at, end)
+                chunks += own
+                keys.append(self.keys_of(doc_key, n, len(own)))
+                n, size, at = n + len(own), size + end - at, end
                 if size >= _BLOCK:
                     flush()
-            units.append((None, None))
+            marks.append(len(chunks))
         flush()
         return out, ends
 
@@ -318,36 +355,45 @@ def encode(
     proto: bytes,
     dropout: float = 0.1,
     seed: int = 7,
-    streams: int = 8,
     text_col: str = "text",
     id_col: str = "doc_id",
+    occurrence: Column | None = None,
+    check: bool = False,
 ) -> DataFrame:
-    """``docs`` with ``pieces`` (array of ids) for the text; replaces a column of that name."""
-    own = [c for c in docs.columns if c != "pieces"]
+    """``docs`` with ``pieces`` (array of ids) for the text; with ``check`` also ``decoded``,
+    the text of those pieces, made in the same pass. Rows of one id are drawn apart by
+    ``occurrence``, such as an epoch."""
+    added = ["pieces", "decoded"] if check else ["pieces"]
+    own = [c for c in docs.columns if c not in added]
     shared = docs.sparkSession.sparkContext.broadcast(proto)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_model(shared.value), dropout, seed, streams)
+        model = _model(shared.value)
+        encoder = Encoder(model, dropout, seed)
         for batch in batches:
-            texts, keys, at = batch.column("_text"), batch.column("_key"), 0
+            rows, texts, keys, at = batch.column(0), batch.column(1), batch.column(2), 0
             while at < batch.num_rows:
                 first, size = at, 0
                 while at < batch.num_rows and size < 1 << 21:
                     size, at = size + len(texts[at].as_buffer() or b""), at + 1
                 part = slice(first, at)
                 ids, ends = encoder.encode_many(texts[part].to_pylist(), keys[part].to_pylist())
-                values = pa.array(np.frombuffer(ids, np.int32))
-                pieces = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
-                kept = [batch.column(c)[part] for c in own]
-                yield pa.RecordBatch.from_arrays([*kept, pieces], names=[*own, "pieces"])
+                values = np.frombuffer(ids, np.int32)
+                columns = [rows[part], pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(values))]
+                if check:
+                    columns.append(pa.array(model.decode_many(values, ends), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["row", *added])
+
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    if occurrence is not None:
+        key = F.concat_ws("#", key, occurrence.cast("string"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    fed = docs.select(F.struct(*own).alias("row"), text.alias("text"), key.alias("key"))
+    schema = T.StructType([fed.schema["row"], *[_ADDED[c] for c in added]])
+    return fed.mapInArrow(run, schema).select("row.*", *added)
+
 
-    fed = docs.select(
-        *own,
-        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_key"),
-    )
-    schema = T.StructType([*docs.select(*own).schema, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
-    return fed.mapInArrow(run, schema)
+_ADDED = {"pieces": T.StructField("pieces", T.ArrayType(T.IntegerType())), "decoded": T.StructField("decoded", T.StringType())}
 
 
 def decode(encoded: DataFrame, proto: bytes, pieces_col: str = "pieces") -> DataFrame:
@@ -360,8 +406,8 @@ def decode(encoded: DataFrame, proto: bytes, pieces_col: str = "pieces") -> Data
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [model.decode(x.values.to_numpy()) if x.is_valid else "" for x in part.column(pieces_col)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*own, "decoded"])
+                texts = [model.decode(x.values.to_pylist()) if x.is_valid else "" for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "decoded"])
 
-    schema = T.StructType([*encoded.select(*own).schema, T.StructField("decoded", T.StringType())])
-    return encoded.select(*own).mapInArrow(run, schema)
+    fed = encoded.select(F.struct(*own).alias("row"), F.col(pieces_col).alias("pieces"))
+    return fed.mapInArrow(run, T.StructType([fed.schema["row"], _ADDED["decoded"]])).select("row.*", "decoded")

@@ -61,16 +61,11 @@ REFERENCES: dict[str, dict] = {
 }
 
 
-# A window's sort key: its hash in the high bits, its place in the text in the low ones.
-_PLACE_BITS = 24
-_PLACES = 1 << _PLACE_BITS
-
-
 def base_counts(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and helper columns.
 
-    Windows of three words are sorted by a 40-bit hash and their place; neighbours count
-    as equal only if their words are. Places run to 2^24 words, about 100 MB of text.
+    Windows of three words are sorted by a 64-bit hash, their words and their place, so equal
+    ones are neighbours, whatever the hash and however long the text.
     """
     text = text_of()
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -91,44 +86,28 @@ def base_counts(docs: DataFrame) -> DataFrame:
             "_sorted": F.sort_array(
                 F.transform(
                     F.slice("_words", F.lit(1), F.greatest(F.size("_words") - 2, F.lit(0))),
-                    lambda word, i: F.shiftleft(
-                        F.xxhash64(word, F.get("_words", i + 1), F.get("_words", i + 2)), _PLACE_BITS
-                    ).bitwiseOR(i.cast("long")),
+                    lambda word, i: F.struct(
+                        F.xxhash64(word, F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"),
+                        word.alias("a"), F.get("_words", i + 1).alias("b"), F.get("_words", i + 2).alias("c"),
+                        i.alias("at"),
+                    ),
                 )
             ),
         }
     ).drop("_lines")
 
-    def place(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(_PLACES - 1)).cast("int")
+    def same(x: Column, y: Column) -> Column:
+        return (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
 
-    def equal(pair: Column) -> Column:
-        here, there = place(pair["x"]), place(pair["y"])
-        words = [F.get("_words", here + k) == F.get("_words", there + k) for k in range(3)]
-        return words[0] & words[1] & words[2]
-
-    following = lambda k: F.get("_sorted", k + 1)
-    # Null where the next entry has another hash.
+    # Places of each window equal to the next one, with the next one's.
     pairs = F.filter(
         F.transform(
             "_sorted",
-            lambda x, k: F.when(
-                F.shiftrightunsigned(x.bitwiseXOR(following(k)), _PLACE_BITS) == 0,
-                F.struct(x.alias("x"), following(k).alias("y")),
-            ),
+            lambda x, k: F.when(same(x, F.get("_sorted", k + 1)), F.array(x["at"], F.get("_sorted", k + 1)["at"])),
         ),
         lambda pair: pair.isNotNull(),
     )
-    staged = staged.withColumn(
-        "_starts",
-        F.sort_array(
-            F.array_distinct(
-                F.flatten(
-                    F.transform(F.filter(pairs, equal), lambda z: F.array(place(z["x"]), place(z["y"])))
-                )
-            )
-        ),
-    ).drop("_sorted")
+    staged = staged.withColumn("_starts", F.sort_array(F.array_distinct(F.flatten(pairs)))).drop("_sorted")
     # A window covers three words, fewer where the next repeated window begins earlier.
     covered = F.aggregate(
         F.transform("_starts", lambda at, k: F.least(F.lit(3), F.get("_starts", k + 1) - at)),

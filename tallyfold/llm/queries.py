@@ -59,7 +59,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.digest_conversations(chat.format_turns(chats.unionByName(added), context=1))
+    return chat.digest_conversations(chat.format_turns(chats.unionByName(added)))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     proto = pieces.read_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = pieces.decode(pieces.encode(docs, proto), proto)
+    both = pieces.encode(docs, proto, check=True)
     return both.select(
         "doc_id",
         F.size("pieces").cast("long").alias("n_pieces"),

@@ -179,7 +179,10 @@ def link_fingerprints(
     distinct: DataFrame, max_bits: int = 4, blocks: int = 6, max_bucket: int = 20_000
 ) -> DataFrame:
     """Links ``a``, ``b`` that join exactly the distinct fingerprints (``fp``) whose
-    chains of links of at most ``max_bits`` differing bits join them."""
+    chains of links of at most ``max_bits`` differing bits join them. Midpoints need an even
+    ``max_bits``, so an odd one is refused whatever the data."""
+    if max_bits % 2 or not 0 <= max_bits < blocks:
+        raise ValueError("max_bits is even and less than blocks")
     dealt = distinct.select(F.explode(block_keys(F.col("fp"), blocks, max_bits)).alias("k"), "fp").select("k.*", "fp")
     sizes = dealt.groupBy("which", "part").count()
     crowded = cut(sizes.filter(F.col("count") > max_bucket).select("which", "part"), "crowded")
@@ -196,8 +199,6 @@ def link_fingerprints(
         return links
     hot = dealt.join(crowded, ["which", "part"], "left_semi").select("fp").distinct()
     points = hot.repartition("fp").mapInArrow(_midpoint_stars(max_bits // 2), "point long, fp long")
-    if max_bits % 2:
-        raise ValueError("midpoints need an even number of bits")
     centres = points.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
     stars = points.join(centres.select("point", "a"), "point").filter("a <> fp")
     return links.unionByName(stars.select("a", F.col("fp").alias("b")))

@@ -11,8 +11,9 @@ so results are exact; ties go to the smaller id.
 
 Defined results: vectors that are null or hold a null or a non-finite component, or whose
 id is null, take no part; shorter vectors count as padded with zeros; an exact repetition
-of a row counts once; rows of the query's own id are no candidates; components beyond
-2^31 after scaling are held at that bound; no queries give no rows.
+of a row counts once; rows of the query's own id are no candidates; no queries give no
+rows. Where a score could leave 64 bits the group is scored in unbounded integers, and a
+score that does leave them, or a component that does after scaling, is an error.
 """
 
 from __future__ import annotations
@@ -72,13 +73,30 @@ def scaled(embedding: Column, scale: int) -> Column:
     """``floor(scale * x)`` of every component, computed as double; null if the vector takes no part."""
     doubles = embedding.cast("array<double>")
     bad = F.exists(doubles, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    bound = float((1 << 31) - 1)
-    whole = F.transform(
-        doubles, lambda x: F.floor(F.greatest(F.lit(-bound), F.least(F.lit(bound), x * scale))).cast("int")
-    )
+    bound = F.lit(float(1 << 63))
+    too_large = F.raise_error(F.lit("a component leaves 64 bits after scaling")).cast("long")
+    whole = F.transform(doubles, lambda x: F.when(F.abs(x * scale) < bound, F.floor(x * scale)).otherwise(too_large))
     return F.when(F.coalesce(~bad, F.lit(False)), whole)
 
 
+def _exact(matrix: np.ndarray, other: np.ndarray) -> bool:
+    """Whether sums of products of the two might leave 64 bits."""
+    most = [max((abs(int(x.min())), abs(int(x.max()))), default=0) if x.size else 0 for x in (matrix, other)]
+    return most[0] * most[1] * max(1, matrix.shape[1]) >= 1 << 62
+
+
+def _scored_whole(rows: np.ndarray, asked: np.ndarray, ids: np.ndarray, names: list[int], k: int) -> list[tuple[int, int, int]]:
+    """Results of a group in unbounded integers, all rows scored."""
+    found = []
+    for query_id, query in zip(names, asked.astype(object), strict=True):
+        scores = [(-sum(a * b for a, b in zip(row, query, strict=True)), i) for row, i in zip(rows.astype(object), ids.tolist(), strict=True) if i != query_id]
+        for score, i in sorted(scores)[:k]:
+            if not -(1 << 63) <= -score < 1 << 63:
+                raise ValueError("a score leaves 64 bits")
+            found.append((query_id, i, -score))
+    return found
+
+
 def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
     out = np.zeros((len(rows), dims), np.int64)
     for i, row in enumerate(rows):
@@ -116,8 +134,12 @@ def top_k(
         dims = max([0, *map(len, rows["v"]), *map(len, asked["v"])])
         found = []
         if len(rows) and len(asked):
-            index, ids = ImpactIndex(_matrix(rows["v"], dims), segments), rows["vec_id"].to_numpy()
-            for query_id, query in zip(asked["vec_id"], _matrix(asked["v"], dims), strict=True):
+            own, queries_, ids = _matrix(rows["v"], dims), _matrix(asked["v"], dims), rows["vec_id"].to_numpy()
+            if _exact(own, queries_):
+                wide = _scored_whole(own, queries_, ids, asked["vec_id"].tolist(), k)
+                return pd.DataFrame(wide, columns=["query_id", "vec_id", "score"]).astype("int64")
+            index = ImpactIndex(own, segments)
+            for query_id, query in zip(asked["vec_id"], queries_, strict=True):
                 found += [(query_id, ids[row], score) for score, row in index.top(query, k, ids == query_id, ids)]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 

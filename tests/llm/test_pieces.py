@@ -3,6 +3,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyfold.llm import pieces as P
 from tests.llm.rows import awkward_docs, no_docs
@@ -19,14 +20,14 @@ def ids(encoder, text, key="k"):
 @settings(max_examples=300, deadline=None)
 @given(TEXT, st.sampled_from([0.0, 0.1, 0.5, 1.0]))
 def test_round_trip(text, dropout):
-    assert MODEL.decode(ids(P.Encoder(MODEL, dropout, 3, 4), text)) == text
+    assert MODEL.decode(ids(P.Encoder(MODEL, dropout, 3), text)) == text
 
 
 @settings(max_examples=200, deadline=None)
 @given(TEXT.filter(lambda t: "▁" not in t))
 def test_without_dropout_equals_the_library(text):
     plain = sentencepiece.SentencePieceProcessor(model_proto=PROTO)
-    assert ids(P.Encoder(MODEL, 0.0, 3, 4), text) == plain.encode(text)
+    assert ids(P.Encoder(MODEL, 0.0, 3), text) == plain.encode(text)
 
 
 def brute(chunk, key, limit):
@@ -71,21 +72,42 @@ def test_many_chunks_at_once(chunks, limit):
 
 def test_dropout_varies_and_repeats():
     text = "the nation is interesting " * 40
-    encoder = P.Encoder(MODEL, 0.2, 3, 8)
+    encoder = P.Encoder(MODEL, 0.2, 3)
     first = ids(encoder, text)
-    assert first == ids(P.Encoder(MODEL, 0.2, 3, 8), text)
-    assert first != ids(P.Encoder(MODEL, 0.2, 4, 8), text) and first != ids(encoder, text, "other")
-    assert len(first) > len(ids(P.Encoder(MODEL, 0.0, 3, 8), text))
-    assert encoder._streams("k", 50) == [encoder.stream_of("k", n) for n in range(50)]
+    assert first == ids(P.Encoder(MODEL, 0.2, 3), text)
+    assert first != ids(P.Encoder(MODEL, 0.2, 4), text) and first != ids(encoder, text, "other")
+    assert len(first) > len(ids(P.Encoder(MODEL, 0.0, 3), text))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["the", " nation", " interesting", "  x", " é日", " 1", "\n", " " + "ab" * 20]), max_size=60), st.sampled_from([0.0, 0.1, 0.7, 1.0]))
+def test_kept_merges_give_what_each_agenda_gives(words, dropout):
+    text = "".join(words)
+    encoder = P.Encoder(MODEL, dropout, 5)
+    chunks = MODEL.chunks.findall(" " + text) if text else []
+    want = [i for c, k in zip(chunks, encoder.keys_of("k", 0, len(chunks))) for i in MODEL.cut(c, int(k), encoder.limit)]
+    assert ids(encoder, text) == want == ids(encoder, text)
+
+
+def test_every_occurrence_is_drawn_apart():
+    n, encoder = 10_000, P.Encoder(MODEL, 0.1, 3)
+    (chunk,) = MODEL.chunks.findall(" a")  # one candidate, so the rate of cuts is that of skips
+    whole = np.array(MODEL.cut(chunk), np.int32).tobytes()
+    cuts = encoder._cut_all([chunk] * n, encoder.keys_of("k", 0, n))
+    assert len(whole) == 4 and 0.09 < sum(c != whole for c in cuts) / n < 0.11
+    other = encoder._cut_all([chunk] * n, encoder.keys_of("k#1", 0, n))
+    assert sum(a != b for a, b in zip(cuts, other)) > 0.1 * n
+    long = " interestingly"
+    assert len(set(encoder._cut_all([long] * n, encoder.keys_of("k", 0, n)))) > 30
 
 
 def test_long_texts_in_blocks_and_a_full_cache(monkeypatch):
     monkeypatch.setattr(P, "_KEPT_CUTS", 50)
     text = "ab  cde " * 200_000 + "y" * 3000
-    encoder = P.Encoder(MODEL, 0.1, 3, 4)
+    encoder = P.Encoder(MODEL, 0.1, 3)
     found = ids(encoder, text)
-    assert MODEL.decode(found) == text and encoder.n_kept <= 50 + 40
-    assert found == ids(P.Encoder(MODEL, 0.1, 3, 4), text)
+    assert MODEL.decode(found) == text and len(encoder.known) <= 50
+    assert found == ids(P.Encoder(MODEL, 0.1, 3), text)
 
 
 @pytest.mark.parametrize("extra", [False, True])
@@ -93,11 +115,21 @@ def test_awkward_documents(spark, extra):
     docs = awkward_docs(spark, extra)
     rows = P.decode(P.encode(docs, PROTO), PROTO).collect()
     assert len(rows) == docs.count()
-    encoder = P.Encoder(MODEL, 0.1, 7, 8)
+    both = P.encode(docs, PROTO, check=True)
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows)) and both.columns == P.decode(P.encode(docs, PROTO), PROTO).columns
+    encoder = P.Encoder(MODEL, 0.1, 7)
     for r in rows:
         assert r["decoded"] == (r["text"] or "")
         assert r["pieces"] == ids(encoder, r["text"] or "", "" if r["doc_id"] is None else str(r["doc_id"]))
 
 
+def test_input_columns_and_occurrences(spark):
+    names = ["row", "key", "_text", "_key", "pieces", "decoded"]
+    docs = spark.createDataFrame([(1, "some text")] * 2, "doc_id long, text string").selectExpr("*", *[f"'mine' as {n}" for n in names])
+    rows = P.encode(docs, PROTO, dropout=0.5, occurrence=F.monotonically_increasing_id(), check=True).collect()
+    assert all(r[n] == "mine" for r in rows for n in names[:4]) and {r["decoded"] for r in rows} == {"some text"}
+    assert rows[0]["pieces"] != rows[1]["pieces"]
+
+
 def test_no_rows(spark):
     assert P.decode(P.encode(no_docs(spark), PROTO), PROTO).count() == 0
