@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents in, encoded training rows out."""
+"""The corpus pipeline: documents in, encoded training rows out.
+
+Defined results: null and empty texts are rejected by the first stage, and so is a document
+of any id, null too, with under 50 words; rows of the same id are documents of their own up
+to mixing, which takes or leaves them together; extra columns are carried up to the last
+stage; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -35,9 +41,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training rows: piece ids and their number, instead of the text, and whether they
-    decode to it."""
-    proto = pieces.read_model()
-    rows = pieces.decode(pieces.encode(docs, proto), proto)
+    decode to it. Each row draws its own merges, by its number in the written table, so a
+    document of two epochs is cut in two ways."""
+    rows = pieces.encode(docs, pieces.read_model(), occurrence=F.monotonically_increasing_id(), check=True)
     lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select(
         "doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless")
@@ -52,8 +58,8 @@ STAGES = [
     ("piece encoding", encoded),
 ]
 
-# SimHash fingerprints and piece ids cannot be had in SQL; tests hold the rows against
-# brute force.
+# SimHash fingerprints and piece ids cannot be had in SQL; tests hold the operators of the
+# stages against brute force, and the last stage against its input.
 ORACLE_SQL = None
 
 
