@@ -30,6 +30,12 @@ from tallyfold.sources.files import REQUEST, read_bodies, read_requests, stream_
 from tallyfold.sources.snapshot import snapshot_rows
 from tallyfold.sources.state_table import read_state
 from tallyfold.sources.updates import explode_batches, parse_batches, parse_paths, parse_updates
+from tallyfold.streaming.keyed import (
+    read_changes,
+    rocksdb_session,
+    run_resumed_changes,
+    run_state_changes,
+)
 from tallyfold.streaming.audit import run_audit
 from tallyfold.streaming.report import (
     read_polls_per_report,
@@ -618,3 +624,28 @@ def stream_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_updates(stream_events(spark, sf_dir)), f"{folder}/polls", f"{folder}/checkpoint", "stream", HOUR
     ).awaitTermination()
     return read_polls_per_report(spark, f"{folder}/polls")
+
+
+@query
+def stream_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State kept by the stream's store, delivered as changed keys with a full one between."""
+    folder = new_work_dir(spark, "stream-changes")
+    session = rocksdb_session(spark)
+    run_state_changes(
+        _valid_stream(session, sf_dir), f"{folder}/state", f"{folder}/checkpoint", full_every=2
+    ).awaitTermination()
+    return read_changes(spark, f"{folder}/state")
+
+
+@query
+def stream_resume_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of the first half becomes the initial state of a stream of the second."""
+    folder = new_work_dir(spark, "stream-resume-keyed")
+    session = rocksdb_session(spark)
+    earlier = _valid(session, sf_dir).where(_BEFORE_RESTART)
+    save_snapshot(fold.fold_updates(earlier), f"{folder}/snapshot")
+    later = _valid_stream(session, sf_dir).where(f"not ({_BEFORE_RESTART})")
+    run_resumed_changes(
+        later, f"{folder}/state", f"{folder}/checkpoint", load_snapshot(session, f"{folder}/snapshot")
+    ).awaitTermination()
+    return read_changes(spark, f"{folder}/state").drop("first_seen")

@@ -350,6 +350,8 @@ _SELECTS = {
     "stream_state": "select * from state",
     "stream_snapshot": _STATE_VALUES,
     "stream_resume": _STATE_VALUES,
+    "stream_state_changes": "select * from state",
+    "stream_resume_keyed": _STATE_VALUES,
     "stream_report_window": _REPORTS,
     "stream_polls": _POLLS,
 }

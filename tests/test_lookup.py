@@ -34,12 +34,12 @@ def test_replies_are_the_stored_record(spark):
     assert got[5] == '{"id":"CMD","type":"histogram"}'
 
 
-def test_salts_change_nothing(spark):
+def test_splitting_frequent_keys_changes_nothing(spark):
     rows = [(i, "PollCount", "counter") for i in range(300)] + [(300 + i, f"x{i}", "gauge") for i in range(30)]
     rows += [(400, "CMD", "gauge"), (401, "CMD", None)]
     requests = spark.createDataFrame(rows, "i int, name string, metric_type string")
-    plain = lookup.answer_lookups(requests, some_state(spark), salts=1)
-    spread = lookup.answer_lookups(requests, some_state(spark), salts=8)
+    plain = lookup.answer_lookups(requests, some_state(spark), share=1)
+    spread = lookup.answer_lookups(requests, some_state(spark), share=1000)
     assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
 
 
