@@ -79,8 +79,25 @@ class PieceModel:
                 left, right = number.get(piece[:at]), number.get(piece[at:])
                 if left is not None and right is not None:
                     made[left * len(number) + right] = i
-        self.pairs = np.array(sorted(made), np.int64)
-        self.made = np.array([made[x] for x in self.pairs.tolist()], np.int32)
+        self._index(np.array(list(made), np.int64), np.array(list(made.values()), np.int32))
+
+    def _index(self, pairs: np.ndarray, made: np.ndarray) -> None:
+        """Pairs of symbols in a table of open addresses, at most an eighth full."""
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.shift, self.pairs, self.made = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        at = self._address(pairs)
+        left = np.arange(len(pairs))
+        while len(left):
+            free = self.pairs[at[left]] < 0
+            first = left[free][np.unique(at[left[free]], return_index=True)[1]]
+            self.pairs[at[first]], self.made[at[first]] = pairs[first], made[first]
+            left = np.setdiff1d(left, first, assume_unique=True)
+            at[left] += self.pairs[at[left]] >= 0
+            at[left] &= len(self.pairs) - 1
+
+    def _address(self, pairs: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
     def cut_many(self, chunks: list[str], keys: np.ndarray, limit: int = 0, taken: list | None = None) -> list[bytes]:
         """``cut`` of many chunks at once, each with its key, as bytes of 32-bit ids.
@@ -158,8 +175,14 @@ class PieceModel:
     def _made(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and rank of the piece two symbols make, or -1 and the greatest number."""
         key = left.astype(np.int64) * len(self.symbol_ids) + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        good = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        at = self._address(key)
+        met = self.pairs[at]
+        other = np.flatnonzero((met != key) & (met >= 0))
+        while len(other):
+            at[other] = (at[other] + 1) & (len(self.pairs) - 1)
+            met[other] = self.pairs[at[other]]
+            other = other[(met[other] != key[other]) & (met[other] >= 0)]
+        good = (met == key) & (left >= 0) & (right >= 0)
         symbol = np.where(good, self.made[at], -1)
         return symbol, np.where(good, self.ranks[symbol], np.iinfo(np.int32).max)
 
