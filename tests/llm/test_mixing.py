@@ -85,3 +85,10 @@ def test_shortage_goes_to_siblings_first(spark):
 
 def test_no_rows(spark):
     assert M.mix(M.with_domain(no_docs(spark), M.DOMAINS), M.WEIGHTS).count() == 0
+
+
+def test_a_source_of_weight_0_is_left_out(spark):
+    rows = [(i, "a b c d", "en", f"src{i % 3}", 7) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'web' as domain")
+    taken = M.mix(docs, {("web", "en", "src0"): 0}).collect()
+    assert {r["source"] for r in taken} == {"src1", "src2"} and sum(r["n_tokens"] for r in taken) == 120

@@ -125,3 +125,8 @@ def test_each_group_keeps_one_row_whatever_its_ids(spark):
 def test_no_rows(spark):
     assert S.near_duplicates(no_docs(spark)).count() == 0
     assert S.drop_near_duplicates(no_docs(spark)).count() == 0
+
+
+def test_an_odd_distance_is_refused_whatever_the_data(spark):
+    with pytest.raises(ValueError):
+        S.link_fingerprints(spark.createDataFrame([(1,), (2,)], "fp long"), max_bits=3)

@@ -56,3 +56,12 @@ def test_fewer_than_k_and_none(spark):
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(1, [1.0])]) == []
     assert run(spark, []) == []
+
+
+def test_large_components_are_scored_whole(spark):
+    rows = [(0, [1e5, 1.0]), (1, [1e8, 0.0]), (2, [1e8, 1.0]), (3, [-1e8, 5.0]), (50, [0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = K.top_k(vectors, F.col("vec_id") == 0).collect()
+    scaled = {i: [int(256 * x) for x in v] for i, v in rows}
+    want = sorted(((-sum(a * b for a, b in zip(scaled[0], scaled[i])), i) for i in scaled if i))
+    assert [(-r["score"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"])] == want
