@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import json_number
 
+# What a JSON string must or should not hold as it is: the last five for HTML's sake.
+_ESCAPED = "[\\x00-\\x1F\"\\\\<>&\u2028\u2029]"
 
-def _json_text(text: Column) -> Column:
-    """A JSON string; NULL counts as empty, and what HTML minds is escaped."""
-    listed = F.to_json(F.array(F.coalesce(text, F.lit(""))))
-    quoted = F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+def json_text(text: Column) -> Column:
+    """A JSON string; NULL counts as empty, and what HTML minds is escaped. Most texts
+    hold nothing to escape and are only quoted."""
+    plain = F.coalesce(text, F.lit(""))
+    listed = F.to_json(F.array(plain))
+    escaped = F.substring(listed, F.lit(2), F.length(listed) - 2)
     for char in "<>&\u2028\u2029":
-        quoted = F.replace(quoted, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
-    return quoted
+        escaped = F.replace(escaped, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
+    return F.when(plain.rlike(_ESCAPED), escaped).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
 
 
 def update_json(
@@ -31,12 +36,12 @@ def update_json(
 
     return F.concat(
         F.lit('{"id":'),
-        _json_text(name),
+        json_text(name),
         F.lit(',"type":'),
-        _json_text(metric_type),
+        json_text(metric_type),
         member("delta", delta, delta.cast("string")),
         member("value", value, json_number(value)),
-        member("hash", hash_, _json_text(hash_)),
+        member("hash", hash_, json_text(hash_)),
         F.lit("}"),
     )
 

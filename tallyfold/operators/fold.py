@@ -77,18 +77,23 @@ def merge_states(*states: DataFrame, overflow: str = WRAP) -> DataFrame:
     than joins. Arrival order decides, not the order of arguments; only gauges without
     one, or with the same, are taken from the later argument.
     """
-    columns, n = STATE.fieldNames(), F.lit(Decimal(len(states)))
-    aged = [s.select(*columns, F.lit(i).alias("_age")) for i, s in enumerate(states)]
+    aged = [s.select(*STATE.fieldNames(), F.lit(i).alias("_age")) for i, s in enumerate(states)]
     both = functools.reduce(DataFrame.unionByName, aged)
-    order = F.coalesce("gauge_seq", F.lit(Decimal(-1))) * n + F.col("_age")
+    return merge_rows(both, F.col("_age"), Decimal(len(states)), overflow)
+
+
+def merge_rows(rows: DataFrame, age: Column, ages: Decimal, overflow: str = WRAP) -> DataFrame:
+    """State rows of any number per key into one each; ``age``, from 0 and below ``ages``,
+    decides between gauges of the same arrival order."""
+    order = F.coalesce("gauge_seq", F.lit(Decimal(-1))) * F.lit(ages) + age
     held = F.when(F.col("metric_type") == GAUGE, order.cast(SEQ))
-    merged = both.groupBy(*STATE_KEY).agg(
+    merged = rows.groupBy(*STATE_KEY).agg(
         F.max_by("gauge_value", held).alias("gauge_value"),
         _counter_total(F.col("counter_value"), overflow).alias("counter_value"),
         F.min("first_seen").alias("first_seen"),
         F.max("gauge_seq").alias("gauge_seq"),
     )
-    return merged.select(*columns)
+    return merged.select(*STATE.fieldNames())
 
 
 def latest_per_name(updates: DataFrame, *keys: str) -> DataFrame:

@@ -24,10 +24,10 @@ from tallyfold.plans.ingest import ingest_bodies
 from tallyfold.session import new_work_dir
 from tallyfold.sinks.audit_log import append_audit, read_audit
 from tallyfold.sinks.files import write_bodies
-from tallyfold.sinks.snapshot import load_snapshot, save_snapshot
-from tallyfold.sinks.state_table import upsert_state
+from tallyfold.sinks.snapshot import load_snapshot, save_snapshot, write_document
+from tallyfold.sinks.state_table import compact_state, upsert_state
 from tallyfold.sources.files import REQUEST, read_bodies, read_requests, stream_requests
-from tallyfold.sources.snapshot import snapshot_rows
+from tallyfold.sources.snapshot import read_document, snapshot_rows
 from tallyfold.sources.state_table import read_state
 from tallyfold.sources.updates import explode_batches, parse_batches, parse_paths, parse_updates
 from tallyfold.streaming.keyed import (
@@ -516,6 +516,23 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, folder)
 
 
+@query
+def compacted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three epochs merged into a new table, its newest one replayed, then a fourth."""
+    folder = new_work_dir(spark, "compacted")
+    valid = _valid(spark, sf_dir)
+
+    def add(table: str, epoch: int) -> None:
+        upsert_state(fold.fold_updates(valid.where(f"batch_id % 4 = {epoch}")), f"{folder}/{table}", "batch", epoch)
+
+    for epoch in range(3):
+        add("first", epoch)
+    compact_state(spark, f"{folder}/first", f"{folder}/second")
+    add("second", 2)
+    add("second", 3)
+    return read_state(spark, f"{folder}/second")
+
+
 @query
 def stored_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scan of stored state that reads the gauge folder only."""
@@ -556,6 +573,14 @@ def snapshot_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_snapshot(spark, folder).drop("first_seen")
 
 
+@query
+def snapshot_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document of all keys over several files, and back line by line."""
+    folder = new_work_dir(spark, "document")
+    write_document(_state(spark, sf_dir), folder)
+    return read_document(spark, folder).drop("first_seen")
+
+
 # --- reports and streams --------------------------------------------------
 
 

@@ -10,7 +10,6 @@ from tallyfold.operators.fold import fold_updates
 from tallyfold.operators.validate import APPLY_PREFIX, REJECT_BATCH, applied_updates, judge_batches
 from tallyfold.sinks.audit_log import append_audit
 from tallyfold.sinks.state_table import upsert_state
-from tallyfold.sinks.versions import Version
 from tallyfold.sources.updates import parse_batches
 
 
@@ -24,7 +23,7 @@ def ingest_bodies(
     on_invalid: str | None = None,
     store: str = MEMORY,
     key: str = "",
-) -> Version:
+) -> None:
     """Apply ``requests(batch_id, ts, client, digest, body)`` and audit the accepted.
 
     Bodies are parsed and judged once; the verdicts are written to ``staging_path``
@@ -37,6 +36,5 @@ def ingest_bodies(
     judged = judge_batches(parse_batches(requests), on_invalid, store, key)
     judged.drop("body", "digest", "malformed").write.mode("overwrite").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
-    version = upsert_state(fold_updates(applied_updates(staged)), state_path, writer, epoch)
+    upsert_state(fold_updates(applied_updates(staged)), state_path, writer, epoch)
     append_audit(audit_bodies(staged), audit_path, writer, epoch)
-    return version

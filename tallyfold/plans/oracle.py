@@ -338,6 +338,7 @@ _SELECTS = {
     "audit_fanout": f"""
         select a.*, s.sink from ({_AUDIT_SINGLE}) a
         cross join (select 'a' as sink union all select 'b') s""",
+    "compacted_state": "select * from state",
     "state_upsert": "select * from state",
     "stored_gauges": "select name, gauge_value from state where metric_type='gauge'",
     "ingested_state": _INGESTED.format(or_prefix="or http_status=500 and pos<first_bad"),
@@ -345,6 +346,7 @@ _SELECTS = {
     "ingested_table_state": _INGESTED.format(or_prefix=""),
     "snapshot_maps": _STATE_VALUES,
     "snapshot_file": _STATE_VALUES,
+    "snapshot_document": _STATE_VALUES,
     "report_window": _REPORTS,
     "polls_per_report": _POLLS,
     "stream_state": "select * from state",

@@ -2,43 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyfold.operators.fold import merge_states
+from tallyfold.operators.fold import merge_rows
 from tallyfold.schema import METRIC_TYPES, SEQ, STATE
-from tallyfold.sinks.versions import Version, current_version
-
-
-# Names are dealt over so many buckets by hash; part of the layout on disk.
-BUCKETS = 16
+from tallyfold.sinks.epochs import read_epochs
 
-
-def bucket_of(name: str | Column) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
+# Epochs of a writer; with an arrival order they fit one decimal.
+_MOST_EPOCHS = Decimal(10**9)
 
 
 def read_state(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """The committed version of a state table; empty before the first commit.
+    """A state table, its epochs merged; empty before the first.
 
-    ``metric_type`` is a partition column, so a filter on it skips folders. With
-    ``name``, only that name is read, from its bucket.
+    ``metric_type`` is a partition column, so a filter on it skips folders. Files are
+    sorted by name: a filter on it, as ``name`` sets one, skips most of what they hold.
     """
-    version = current_version(spark, path)
-    return spark.createDataFrame([], STATE) if version is None else read_version(spark, version, name)
-
-
-def read_version(spark: SparkSession, version: Version, name: str | None = None) -> DataFrame:
-    """Parts of a version merged, the later committed ones last."""
-    schema = T.StructType([*STATE.fields, T.StructField("bucket", T.IntegerType())])
-    parts = []
-    for place in version.locations():
-        rows = spark.read.schema(schema).option("basePath", place).parquet(place)
-        if name is not None:
-            rows = rows.where((F.col("bucket") == bucket_of(F.lit(name))) & (F.col("name") == name))
-        parts.append(rows.select(*STATE.fieldNames()))
-    return parts[0] if len(parts) == 1 else merge_states(*parts)
+    rows = read_epochs(spark, path, STATE)
+    return merged_epochs(rows if name is None else rows.where(F.col("name") == name))
+
+
+def merged_epochs(rows: DataFrame) -> DataFrame:
+    """One row per key. Gauges without an arrival order, or with the same, are taken from
+    the later epoch; two writers must not give the same order to different gauges."""
+    return merge_rows(rows, F.col("epoch") + 2, _MOST_EPOCHS)
 
 
 def read_state_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

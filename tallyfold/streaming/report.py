@@ -1,42 +1,40 @@
 """Report windows over a stream of polls.
 
-Each micro-batch is thinned to its own windows and added to a report table under its
-epoch; parts are merged when the table is read. There is no watermark: a poll counts
-however late it comes, a window can be read at any time, and a replay adds nothing.
+Each micro-batch is thinned to its own windows and written as an epoch of a report table;
+epochs are merged when the table is read. There is no watermark: a poll counts however
+late it comes, a window can be read at any time, and a replay adds nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.operators.fold import latest_per_name
 from tallyfold.operators.report import polls_per_report, report_windows
-from tallyfold.schema import REPORT_INTERVAL
-from tallyfold.sinks.versions import Version, add_part, current_version
-
-
-def _parts(spark: SparkSession, version: Version) -> DataFrame:
-    return spark.read.parquet(*version.locations())
-
-
-def _merged_windows(spark: SparkSession, version: Version) -> DataFrame:
-    return latest_per_name(_parts(spark, version), "window_start", "client")
-
-
-def _merged_polls(spark: SparkSession, version: Version) -> DataFrame:
-    counts = _parts(spark, version).groupBy("window_start", "client")
-    return counts.agg(F.sum("polls").alias("polls"))
-
-
-def _save(rows: DataFrame, folder: str) -> None:
-    rows.write.mode("overwrite").parquet(folder)
-
-
-def _run(polls: DataFrame, thin, merged, path: str, checkpoint: str, writer: str) -> StreamingQuery:
+from tallyfold.schema import REPORT_INTERVAL, SEQ
+from tallyfold.sinks.epochs import read_epochs, write_epoch
+
+_KEYS = [T.StructField("window_start", T.TimestampNTZType()), T.StructField("client", T.StringType())]
+_WINDOWS = T.StructType(
+    [
+        *_KEYS,
+        T.StructField("name", T.StringType()),
+        T.StructField("metric_type", T.StringType()),
+        T.StructField("delta", T.LongType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("seq", SEQ),
+    ]
+)
+_POLLS = T.StructType([*_KEYS, T.StructField("polls", T.LongType())])
+
+
+def _run(polls: DataFrame, thin, schema: T.StructType, path: str, checkpoint: str, writer: str) -> StreamingQuery:
     def add(batch: DataFrame, epoch: int) -> None:
-        add_part(thin(batch), path, merged, _save, writer, epoch)
+        thinned = thin(batch).select(*[F.col(field.name).cast(field.dataType) for field in schema])
+        write_epoch(thinned, path, writer, epoch)
 
     return (
         polls.writeStream.foreachBatch(add)
@@ -50,21 +48,22 @@ def run_report_windows(
     polls: DataFrame, path: str, checkpoint: str, writer: str, interval: str = REPORT_INTERVAL
 ) -> StreamingQuery:
     """Keep ``report_windows`` of all polls so far in the table at ``path``."""
-    return _run(polls, lambda b: report_windows(b, interval), _merged_windows, path, checkpoint, writer)
+    return _run(polls, lambda b: report_windows(b, interval), _WINDOWS, path, checkpoint, writer)
 
 
 def run_polls_per_report(
     polls: DataFrame, path: str, checkpoint: str, writer: str, interval: str = REPORT_INTERVAL
 ) -> StreamingQuery:
     """Keep ``polls_per_report`` of all polls so far in the table at ``path``."""
-    return _run(polls, lambda b: polls_per_report(b, interval), _merged_polls, path, checkpoint, writer)
+    return _run(polls, lambda b: polls_per_report(b, interval), _POLLS, path, checkpoint, writer)
 
 
-def read_report_windows(spark: SparkSession, path: str) -> DataFrame | None:
-    version = current_version(spark, path)
-    return None if version is None else _merged_windows(spark, version)
+def read_report_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest record per client and name in each window; empty before the first epoch."""
+    return latest_per_name(read_epochs(spark, path, _WINDOWS), "window_start", "client")
 
 
-def read_polls_per_report(spark: SparkSession, path: str) -> DataFrame | None:
-    version = current_version(spark, path)
-    return None if version is None else _merged_polls(spark, version)
+def read_polls_per_report(spark: SparkSession, path: str) -> DataFrame:
+    """Polls per client in each window; empty before the first epoch."""
+    counts = read_epochs(spark, path, _POLLS).groupBy("window_start", "client")
+    return counts.agg(F.sum("polls").alias("polls"))

@@ -7,9 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.operators.fold import fold_updates
 from tallyfold.schema import STORE_INTERVAL_SECONDS
-from tallyfold.sinks.snapshot import load_snapshot, save_snapshot
-from tallyfold.sinks.state_table import upsert_state
-from tallyfold.sinks.versions import current_version
+from tallyfold.sinks.snapshot import load_snapshot, newest_save, save_snapshot
+from tallyfold.sinks.state_table import restore_state, upsert_state
 
 
 def _trigger(seconds: int) -> dict:
@@ -32,17 +31,16 @@ def run_state_table(
 ) -> StreamingQuery:
     """Keep the state table at ``path`` up to date from a stream of accepted updates.
 
-    Each micro-batch is folded and merged into the next version under its epoch;
-    a replayed epoch is recognised and adds nothing twice. ``writer`` names this
-    query's checkpoint: keep both together, and take a new name with a new
-    checkpoint. A cold start first restores ``snapshot``; since a restore adds
-    counters, it happens only while the table has no version.
+    Each micro-batch is folded and written as an epoch of the table; a replay
+    replaces it and adds nothing twice. ``writer`` names this query's checkpoint: keep
+    both together, and take a new name with a new checkpoint. A cold start first
+    restores ``snapshot``; since a restore adds counters, it happens only while no
+    writer has added to the table.
     """
     spark = updates.sparkSession
-    if snapshot is not None and current_version(spark, path) is None:
-        restored = load_snapshot(spark, snapshot)
-        if restored is not None:
-            upsert_state(restored, path, writer="restore", epoch=0)
+    restored = None if snapshot is None else load_snapshot(spark, snapshot)
+    if restored is not None:
+        restore_state(restored, path)
 
     def merge(batch: DataFrame, epoch: int) -> None:
         upsert_state(fold_updates(batch), path, writer, epoch)
@@ -65,8 +63,8 @@ def run_snapshots(
     """Save the entire state every interval; 0 saves once and stops."""
 
     def save(state: DataFrame, epoch: int) -> None:
-        current = current_version(state.sparkSession, path)
-        if current is None or not current.covers(writer, epoch):
+        newest = newest_save(state.sparkSession, path)
+        if newest is None or newest.writer != writer or newest.epoch < epoch:
             save_snapshot(state, path, writer=writer, epoch=epoch)
 
     return (
