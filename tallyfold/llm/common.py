@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +42,19 @@ def words_of(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def set_aside(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose helper columns, which begin with ``_``, meet none of its input:
+    such columns of the input bear other names meanwhile, and keep their values."""
+
+    @functools.wraps(operator)
+    def run(frame: DataFrame, *args, **kwargs) -> DataFrame:
+        clashing = [c for c in frame.columns if c.startswith("_")]
+        used = {c.lower() for c in frame.columns}
+        free = (name for name in (f"aside{i}" for i in itertools.count()) if name not in used)
+        names = dict(zip(clashing, free))
+        result = operator(frame.withColumnsRenamed(names), *args, **kwargs) if names else operator(frame, *args, **kwargs)
+        return result.withColumnsRenamed({v: k for k, v in names.items()})
+
+    return run

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import LOWER, UPPER, cut
+from tallyfold.llm.common import LOWER, UPPER, cut, set_aside
 
 # What lies between words of lower-cased texts; the same, and words, of texts as
 # they are.
@@ -96,6 +96,7 @@ def _verified_hits(words: DataFrame, windows: DataFrame, lengths: Sequence[int],
     )
 
 
+@set_aside
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -166,6 +167,7 @@ def _runs(places: str) -> Column:
     return F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first"), (b + 1).alias("end")))
 
 
+@set_aside
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", remove: str = "spans", **options
 ) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import SPACE_BYTES, cut
+from tallyfold.llm.common import SPACE_BYTES, cut, set_aside
 
 NO_ID = -(1 << 63)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -128,22 +128,29 @@ class Shard:
 
 
 def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``h``, ``fp``, ``doc_id``: each distinct key of a document once."""
+    """``h``, ``fp``, ``doc_id``, ``text_hash``: each distinct key of a document once.
+
+    The way back to a document goes by its id and text, so rows without an id, or of the
+    same id, do not meet in one task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, owners = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            hashes, owners, texts = [], [], []
+            for doc_id, text, text_hash in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 data = (text.as_py() or "").encode()
                 keys = {k for line in data.split(b"\n") if long_enough(k := line_key(line), min_chars)}
                 hashes += [key_hashes(k) for k in keys]
                 owners += [NO_ID if doc_id is None else doc_id] * len(keys)
+                texts += [text_hash] * len(keys)
             pairs = np.array(hashes, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(owners, pa.int64())], names=["h", "fp", "doc_id"]
+                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(owners, pa.int64()), pa.array(texts, pa.int64())],
+                names=["h", "fp", "doc_id", "text_hash"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h long, fp long, doc_id long")
+    own = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return own.mapInArrow(run, "h long, fp long, doc_id long, text_hash long")
 
 
 def build_index(repeated: DataFrame, keys_per_shard: int) -> tuple[DataFrame, int]:
@@ -160,13 +167,13 @@ def build_index(repeated: DataFrame, keys_per_shard: int) -> tuple[DataFrame, in
 
 
 def probe_index(lines: DataFrame, index: DataFrame, shards: int, salts: int) -> DataFrame:
-    """``doc_id``, ``h`` of each line that its document loses."""
+    """``doc_id``, ``text_hash``, ``h`` of each line that its document loses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, at = None, None
         for batch in batches:
-            place, h, fp, owner = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3))
-            data = batch.column(4)
+            place, h, fp, owner, texts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            data = batch.column(5)
             cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else [0]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if data[a].is_valid:
@@ -175,23 +182,25 @@ def probe_index(lines: DataFrame, index: DataFrame, shards: int, salts: int) ->
                     continue
                 slots = shard.probe(h[a:b].view(np.uint64), fp[a:b].view(np.uint64))
                 lost = (slots >= 0) & (shard.last[slots] != owner[a:b])
-                yield pa.RecordBatch.from_arrays([pa.array(owner[a:b][lost]), pa.array(h[a:b][lost])], names=["doc_id", "h"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column[a:b][lost]) for column in (owner, texts, h)], names=["doc_id", "text_hash", "h"]
+                )
 
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)) if salts > 1 else F.lit(0)
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(salts)) if salts > 1 else F.lit(0)
     probes = lines.select(
-        (F.expr(f"pmod(h, {shards})") * salts + salt).cast("int").alias("place"), "h", "fp", "doc_id",
+        (F.expr(f"pmod(h, {shards})") * salts + salt).cast("int").alias("place"), "h", "fp", "doc_id", "text_hash",
         F.lit(None).cast("binary").alias("data"),
     )
     spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     held = index.select("shard", "data", spread.alias("salt")).select(
         (F.col("shard") * salts + F.col("salt")).cast("int").alias("place"),
-        *[F.lit(0).cast("long").alias(c) for c in ("h", "fp", "doc_id")], "data",
+        *[F.lit(0).cast("long").alias(c) for c in ("h", "fp", "doc_id", "text_hash")], "data",
     )
     return (
         probes.unionByName(held)
         .repartition("place")
         .sortWithinPartitions("place", F.col("data").isNull())
-        .mapInArrow(run, "doc_id long, h long")
+        .mapInArrow(run, "doc_id long, text_hash long, h long")
     )
 
 
@@ -220,6 +229,7 @@ def _rewritten(columns: list[str], min_chars: int):
     return run
 
 
+@set_aside
 def drop_repeated_lines(
     docs: DataFrame,
     min_chars: int = 20,
@@ -238,9 +248,10 @@ def drop_repeated_lines(
     )
     index, shards = build_index(repeated, keys_per_shard)
     if shards:
-        lost = probe_index(lines, index, shards, salts).groupBy("doc_id").agg(F.collect_set("h").alias("_lost"))
-        by_id = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("_owner")
-        joined = docs.join(lost.withColumnRenamed("doc_id", "_owner"), by_id, "left").drop("_owner")
+        lost = probe_index(lines, index, shards, salts).groupBy("doc_id", "text_hash").agg(F.collect_set("h").alias("_lost"))
+        lost = lost.withColumnsRenamed({"doc_id": "_owner", "text_hash": "_hash"})
+        mine = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("_owner")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+        joined = docs.join(lost, mine, "left").drop("_owner", "_hash")
     else:
         joined = docs.withColumn("_lost", F.lit(None).cast("array<long>"))
     schema = ", ".join(

@@ -27,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import cut, text_of, words_of
+from tallyfold.llm.common import cut, set_aside, text_of, words_of
 
 PATH = ("domain", "lang", "source")
 _WIDE = "decimal(38,0)"
 
 
+@set_aside
 def with_domain(docs: DataFrame, domains: Mapping[str, str], default: str = "other") -> DataFrame:
     """Adds ``domain``, looked up by source."""
     named = F.lit(None).cast("string")
@@ -114,6 +115,7 @@ def order_key(seed: int, epoch: Column) -> Column:
     )
 
 
+@set_aside
 def mix(
     docs: DataFrame,
     weights: Mapping[tuple, int],
@@ -170,9 +172,10 @@ def mix(
     within = cutting.join(
         last, (F.col("_at") == F.col("c_at")) & _all_same(keys, [f"c{k}" for k in keys])
     )
-    upto = W.partitionBy(*keys).orderBy("_key").rangeBetween(W.unboundedPreceding, W.currentRow)
-    own = W.partitionBy(*keys, "_key")
-    inside = within.withColumn("_sofar", F.sum("n_tokens").over(upto) - F.sum("n_tokens").over(own) + F.col("c_before"))
+    # Rows of one id share their key, so they are summed before the window.
+    summed = within.groupBy(*keys, "_left", "c_before", "_key").agg(F.sum("n_tokens").alias("_sum"))
+    upto = W.partitionBy(*keys).orderBy("_key").rowsBetween(W.unboundedPreceding, -1)
+    inside = summed.withColumn("_sofar", F.coalesce(F.sum("_sum").over(upto), F.lit(0)) + F.col("c_before"))
     edge = inside.filter("_sofar < _left").groupBy(*keys).agg(F.max("_key").alias("_edge"))
     plan = cut(
         plan.join(edge.select(*[F.col(k).alias(f"e{k}") for k in keys], "_edge"), _all_same(keys, [f"e{k}" for k in keys]), "left")

@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfold.llm.common import set_aside
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BITS = (1 << 64) - 1
 _KEPT_CUTS = 200_000  # chunks whose merges a task keeps
@@ -373,6 +375,7 @@ def read_model(path: str = MODEL) -> bytes:
         return file.read()
 
 
+@set_aside
 def encode(
     docs: DataFrame,
     proto: bytes,
@@ -419,6 +422,7 @@ def encode(
 _ADDED = {"pieces": T.StructField("pieces", T.ArrayType(T.IntegerType())), "decoded": T.StructField("decoded", T.StringType())}
 
 
+@set_aside
 def decode(encoded: DataFrame, proto: bytes, pieces_col: str = "pieces") -> DataFrame:
     """``encoded`` with ``decoded``, the text of its pieces."""
     own = [c for c in encoded.columns if c != "decoded"]

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import set_aside
+
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "lower", "upper", "digit", "blank", "newline",
     "punctuation", "symbol", "beyond_ascii", "unique_words", "words_not_alnum", "short_words",
@@ -158,6 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, seed: i
     return fit(x, rows["label"].to_numpy(float), **options)
 
 
+@set_aside
 def score(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, with ``score``; replaces a column of that name."""
     own = [c for c in docs.columns if c not in (text_col, "score")]

@@ -18,7 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import text_of, words_of
+from tallyfold.llm.common import set_aside, text_of, words_of
 
 CHAR_CLASSES = ("upper", "letter", "digit", "space", "punctuation", "symbol", "other")
 
@@ -61,6 +61,7 @@ REFERENCES: dict[str, dict] = {
 }
 
 
+@set_aside
 def base_counts(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and helper columns.
 
@@ -210,6 +211,7 @@ def divergence(frame: DataFrame, references: Mapping[str, Mapping], lang_col: st
     ).drop("_fitting")
 
 
+@set_aside
 def quality_rules(
     docs: DataFrame,
     references: Mapping[str, Mapping] = REFERENCES,

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import set_aside
+
 
 class Range(NamedTuple):
     """Ranks of an arc from ``first`` up to, not including, ``end`` go to ``shard`` from ``slot`` on."""
@@ -79,6 +81,7 @@ def walk(counts: np.ndarray, owners: np.ndarray, room: np.ndarray) -> list[Range
     return ranges
 
 
+@set_aside
 def assign_shards(docs: DataFrame, shards: int = 40, points: int = 64, seed: int = 5) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.llm.common import cut
+from tallyfold.llm.common import cut, set_aside
 
 SEED = 42
 
@@ -260,6 +260,7 @@ def _grouped(
     return marked, cut(rooted.join(named, "root").select("fp", "root", "component_id"), "classes")
 
 
+@set_aside
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``doc_id``, ``fp`` (signed long), ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -272,6 +273,7 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+@set_aside
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", shingle_words: int = 4, **options) -> DataFrame:
     """One document of each group stays: the one of the smallest doc_id, or of none if no
     document of the group has one; of several such rows the least by all columns as text.

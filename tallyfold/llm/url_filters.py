@@ -26,7 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import cut
+from tallyfold.llm.common import cut, set_aside
 
 MERGED = "/"  # alike siblings as one branch; never a segment of a path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -213,6 +213,7 @@ def judge_templates(
     )
 
 
+@set_aside
 def filter_urls(
     pages: DataFrame,
     labels: DataFrame,

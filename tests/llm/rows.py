@@ -2,6 +2,8 @@
 
 import random
 
+# Names that operators use for columns of their own on the way.
+HELPERS = ("_words", "_text", "_lost", "_key", "_n", "_fit", "_owner", "_hash", "_epochs", "aside0")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -29,7 +31,7 @@ def awkward_docs(spark, extra=False):
     ]
     frame = spark.createDataFrame(rows, DOCS)
     if extra:
-        for name in ("n_words", "kept", "_words", "fp", "root", "n_lines", "tokens", "epoch", "pieces", "score", "shard", "rank"):
+        for name in (*HELPERS, "n_words", "kept", "fp", "root", "n_lines", "tokens", "epoch", "pieces", "score", "shard", "rank"):
             frame = frame.selectExpr("*", f"concat('x', doc_id) as `{name}`")
     return frame
 
