@@ -79,6 +79,30 @@ def _not_text(tagged: Column) -> Column:
     return wrong(tagged["id"]) | wrong(tagged["type"]) | wrong(tagged["hash"])
 
 
+# A bracket that could close the wrapping, other than the wrapping's own.
+_EARLY_END = r"\]\s*[,}](?!\z)"
+_STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def _leaves_wrapping(text: Column) -> Column:
+    """Whether a body closes the wrapping and goes on behind it, be it with another member
+    or with a value of its own. Brackets outside strings are followed only where one of
+    them could do so."""
+    brackets = F.regexp_extract_all(F.regexp_replace(text, _STRINGS, ""), F.lit(r"[\[\]{}]"), F.lit(0))
+    inner = F.slice(brackets, F.lit(3), F.greatest(F.size(brackets) - 4, F.lit(0)))
+    lowest = F.aggregate(
+        inner,
+        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("low")),
+        lambda at, bracket: _step(at, F.when(bracket.isin("[", "{"), 1).otherwise(-1)),
+        lambda at: at["low"],
+    )
+    return F.when(text.rlike(_EARLY_END), lowest < 0).otherwise(False)
+
+
+def _step(at: Column, change: Column) -> Column:
+    return F.struct((at["depth"] + change).alias("depth"), F.least(at["low"], at["depth"] + change).alias("low"))
+
+
 def _once(parsed: DataFrame, columns: list[str], *outputs: Column) -> DataFrame:
     """Add ``outputs``, each worked out once per row.
 
@@ -109,8 +133,7 @@ def _malformed(found: Column, tagged: Column) -> Column:
 
     return (
         F.col("_json._bad").isNotNull()
-        # A body must not close the wrapping and go on behind it.
-        | F.coalesce(F.json_object_keys("_text") != F.array(F.lit("items")), F.lit(True))
+        | _leaves_wrapping(F.col("_text"))
         | F.coalesce(F.size("_json.items") != 1, F.lit(True))
         | has(float("inf"))
         | has(float("-inf"))

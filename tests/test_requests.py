@@ -144,6 +144,7 @@ def test_other_routes_are_not_found(spark):
 def test_bodies_cannot_leave_their_wrapping(spark):
     item = '{"id":"a","type":"counter","delta":1}'
     singles = [item + '],"x":[1', item + '],"items":[{"id":"b","type":"counter","delta":7}', item + "]", item + ',{}']
+    singles += [item + ']} x', item + ']}', item + ']}{"items":[' + item, item + ' ] , "x":[1', item + '] }\n{"a":[1']
     rows = spark.createDataFrame([(b,) for b in singles], "body string")
     assert all(r.malformed for r in parse_updates(rows).collect())
     lists = [f"[{item}]],\"items\":[[{item}]", f"[{item}],[{item}]", f'[{item}]],"x":[[]']
@@ -151,6 +152,19 @@ def test_bodies_cannot_leave_their_wrapping(spark):
     assert all(r.malformed for r in parse_batches(rows).collect())
 
 
+def test_brackets_inside_a_body_are_its_own(spark):
+    bodies = [
+        '{"id":"a","type":"counter","delta":1,"x":[1,{"y":[2]}]}',
+        '{"id":"a]} {\\"items\\":[","type":"counter","delta":1}',
+        '{"x":{"y":[[],{}]},"id":"a],","type":"counter","delta":1}',
+    ]
+    rows = spark.createDataFrame([(b,) for b in bodies] + [(f"[{b},{b}]",) for b in bodies], "body string")
+    singles = {r.body: r.malformed for r in parse_updates(rows).collect()}
+    assert singles == {**{b: False for b in bodies}, **{f"[{b},{b}]": True for b in bodies}}
+    lists = parse_batches(rows.withColumns({"batch_id": F.lit(1), "ts": F.current_timestamp()}).where("body like '[%'"))
+    assert [(r.malformed, len(r.items)) for r in lists.collect()] == [(False, 2)] * 3
+
+
 def test_keys_match_in_any_case(spark):
     bodies = {
         '{"ID":"a","Type":"counter","Delta":1}': ("a", "counter", 1, None),
