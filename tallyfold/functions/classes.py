@@ -35,6 +35,11 @@ def _stops(
 
 # Only in the path form a missing number means text that did not parse.
 _PATH_CLASS = {"null_delta": "bad_delta", "null_value": "bad_value"}
+# Every class an update can have.
+CLASSES = (
+    OK, UNKNOWN_TYPE, "missing_id", "null_delta", "null_value", "bad_delta", "bad_value",
+    "name_too_long", "delta_range",
+)
 
 
 def update_class(

@@ -17,13 +17,14 @@ def chunk_updates(
     """Adds ``chunk``: the running position per client, in groups of ``size``.
 
     Numbering a client's rows in one window would put a hot client into one task. Rows are
-    dealt into ranges of (client, seq) of about ``group_rows`` rows instead, kept in files
+    dealt into ranges of (client, seq) of at most about ``group_rows`` rows instead, kept in files
     so that the ranges stand; they are numbered within their range, and the rows of the
     client in earlier ranges are added, which takes a window over one count per range.
     """
     named = updates.withColumn("client", F.coalesce("client", F.lit(UNKNOWN_CLIENT)))
-    ranges = max(1, -(-named.count() // group_rows))
-    dealt = named.repartitionByRange(ranges, "client", "seq") if ranges > 1 else named.coalesce(1)
+    ranges = -(-named.count() // group_rows)
+    # Few rows go into as many ranges as their size asks for.
+    dealt = named.repartitionByRange(*[ranges] * (ranges > 1), "client", "seq")
     placed = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     counts = placed.groupBy("client", "_range").agg(F.count("*").alias("_rows"))
     earlier = Window.partitionBy("client").orderBy("_range").rowsBetween(
@@ -47,10 +48,19 @@ def pack_batches(chunked: DataFrame, key: str = "") -> DataFrame:
     a value that JSON has not gets no body.
     """
     record = update_json(F.col("name"), F.col("metric_type"), F.col("delta"), F.col("value"))
-    packed = chunked.groupBy("client", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("seq", record.alias("update")))).alias("rows")
+    return bodies_of(gather_chunks(chunked.select("client", "chunk", "seq", record.alias("update"))), key)
+
+
+def gather_chunks(chunked: DataFrame) -> DataFrame:
+    """One row per chunk: its ``rows`` of ``(seq, update)`` in arrival order."""
+    return chunked.groupBy("client", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "update"))).alias("rows")
     )
-    bodies = packed.select(
+
+
+def bodies_of(gathered: DataFrame, key: str = "") -> DataFrame:
+    """``(client, chunk, updates, body, digest)`` of gathered chunks."""
+    bodies = gathered.select(
         "client",
         "chunk",
         F.size("rows").cast("bigint").alias("updates"),

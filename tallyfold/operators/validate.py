@@ -7,10 +7,11 @@ batch is bounded whatever the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.classes import (
+    CLASSES,
     MEMORY,
     OK,
     TABLE,
@@ -41,10 +42,22 @@ def quarantine(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.where(F.col("update_class") == OK), judged.where(F.col("update_class") != OK)
 
 
-def write_judged(judged: DataFrame, path: str) -> None:
-    """Both sides of the split in one pass, as folders ``side=accepted|refused``."""
+def write_judged(judged: DataFrame, path: str) -> dict[str, int]:
+    """Both sides of the split in one pass, as folders ``side=accepted|refused``.
+
+    Returns the updates of each class. The tasks that write count them as the rows flow, so
+    they take no second pass; a task that runs again counts once.
+    """
     side = F.when(F.col("update_class") == OK, "accepted").otherwise("refused")
-    judged.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
+    seen = Observation()
+    counted = judged.observe(seen, *[F.count_if(F.col("update_class") == c).alias(c) for c in CLASSES])
+    counted.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
+    return {class_: n for class_, n in seen.get.items() if n}
+
+
+def class_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``(update_class, updates)`` of what ``write_judged`` counted."""
+    return spark.createDataFrame(list(counts.items()), "update_class string, updates bigint")
 
 
 def reject_bad_batches(judged: DataFrame) -> DataFrame:
@@ -229,6 +242,7 @@ __all__ = [
     "applied_updates",
     "apply_prefix",
     "batch_outcomes",
+    "class_counts",
     "classify",
     "judge_batches",
     "outcome_report",

@@ -19,7 +19,14 @@ from tallyfold.functions.identity import client_id
 from tallyfold.functions.numbers import gauge_text, parse_float64, parse_int64, value_text
 from tallyfold.functions.render import json_list, update_json
 from tallyfold.operators import audit, batches, fold, lookup, report, snapshot, validate
-from tallyfold.plans.events import as_updates, every, read_events, stream_events, updates_of
+from tallyfold.plans.events import (
+    as_updates,
+    every,
+    read_events,
+    stream_events,
+    stream_events_in_order,
+    updates_of,
+)
 from tallyfold.plans.ingest import ingest_bodies
 from tallyfold.session import new_work_dir
 from tallyfold.sinks.audit_log import append_audit, read_audit
@@ -37,6 +44,8 @@ from tallyfold.streaming.keyed import (
     run_state_changes,
 )
 from tallyfold.streaming.audit import run_audit
+from tallyfold.streaming.batches import read_batches, run_batches
+from tallyfold.streaming.judged import read_class_counts, run_judged
 from tallyfold.streaming.report import (
     read_polls_per_report,
     read_report_windows,
@@ -183,6 +192,13 @@ def update_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).groupBy("update_class").agg(F.count("*").alias("updates"))
 
 
+@query
+def observed_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that come with writing both sides."""
+    folder = new_work_dir(spark, "judged")
+    return validate.class_counts(spark, validate.write_judged(_judged(spark, sf_dir), folder))
+
+
 @query
 def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.quarantine(_judged(spark, sf_dir))[0].drop("form")
@@ -674,3 +690,20 @@ def stream_resume_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
         later, f"{folder}/state", f"{folder}/checkpoint", load_snapshot(session, f"{folder}/snapshot")
     ).awaitTermination()
     return read_changes(spark, f"{folder}/state").drop("first_seen")
+
+
+@query
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that left as their chunks filled up, and the ones still open at the end."""
+    folder = new_work_dir(spark, "stream-batches")
+    updates = _ok(as_updates(stream_events_in_order(spark, sf_dir)))
+    run_batches(updates, f"{folder}/out", f"{folder}/checkpoint", key=KEY, full_every=2).awaitTermination()
+    return read_batches(spark, f"{folder}/out", KEY, waiting=True)
+
+
+@query
+def stream_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_work_dir(spark, "stream-judged")
+    judged = validate.classify(as_updates(stream_events(spark, sf_dir)))
+    run_judged(judged, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return read_class_counts(spark, f"{folder}/out")

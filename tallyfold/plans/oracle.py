@@ -127,6 +127,8 @@ _OUTGOING = """
         from j where update_class='ok')
   group by client, chunk
 """
+_BATCHES = f"select *, sha256(body || 'key') as digest from ({_OUTGOING})"
+_CLASSES = "select update_class, count(*) as updates from c group by update_class"
 
 _BROKEN_JSON = "e%31=5 or e%37=3 or e%41=7 or e%43=9 or e%53=2 or e%59=1"
 
@@ -181,7 +183,9 @@ _SELECTS = {
                 from u) r
           left join state s on r.name=s.name and r.metric_type=s.metric_type
         )""",
-    "update_classes": "select update_class, count(*) as updates from c group by update_class",
+    "update_classes": _CLASSES,
+    "observed_classes": _CLASSES,
+    "stream_classes": _CLASSES,
     "accepted_rows": f"select {_ROW} from c where update_class='ok'",
     "quarantined_rows": f"select {_ROW} from c where update_class<>'ok'",
     "atomic_batches": f"""
@@ -327,8 +331,8 @@ _SELECTS = {
         select seq, client,
                cast((row_number() over (partition by client order by seq)-1)//100 as bigint) as chunk
         from v""",
-    "outgoing_batches": f"""
-        select *, sha256(body || 'key') as digest from ({_OUTGOING})""",
+    "outgoing_batches": _BATCHES,
+    "stream_batches": _BATCHES,
     "gzipped_bodies": """
         select name, metric_type, count(*) as updates, cast(sum(delta) as bigint) as counter_value
         from v group by name, metric_type""",

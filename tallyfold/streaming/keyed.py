@@ -134,13 +134,17 @@ def run_resumed_changes(
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
     """The state now: for every key the row of its newest epoch since the last full state."""
-    rows = spark.read.schema(_CHANGES).parquet(path)
+    rows = since_full(spark.read.schema(_CHANGES).parquet(path))
+    return rows.groupBy(*STATE_KEY).agg(*[F.max_by(c, "epoch").alias(c) for c in _VALUES])
+
+
+def since_full(rows: DataFrame) -> DataFrame:
+    """The rows that count of folders ``full`` and ``epoch``: the last full state that is
+    surely whole, and what came after it."""
     # Folder names answer this; no file is opened for it.
     last = rows.where(~F.col("full")).agg(F.max("epoch")).first()[0]
     full = rows.where(F.col("full") & (F.col("epoch") < F.lit(last))).agg(F.max("epoch")).first()[0]
     if full is not None:
         since = ~F.col("full") & (F.col("epoch") > full)
-        rows = rows.where(since | (F.col("full") & (F.col("epoch") == full)))
-    else:
-        rows = rows.where(~F.col("full"))
-    return rows.groupBy(*STATE_KEY).agg(*[F.max_by(c, "epoch").alias(c) for c in _VALUES])
+        return rows.where(since | (F.col("full") & (F.col("epoch") == full)))
+    return rows.where(~F.col("full"))

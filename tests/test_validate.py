@@ -67,7 +67,9 @@ def test_quarantine_loses_nothing(spark, tmp_path):
     judged = v.classify(updates(spark, BATCHES))
     good, bad = v.quarantine(judged)
     assert good.count() + bad.count() == len(BATCHES)
-    v.write_judged(judged, str(tmp_path / "q"))
+    counts = v.write_judged(judged, str(tmp_path / "q"))
+    assert v.class_counts(spark, counts).count() == len(counts)
+    assert counts == {r.update_class: r["count"] for r in judged.groupBy("update_class").count().collect()}
     stored = spark.read.parquet(str(tmp_path / "q"))
     assert stored.where("side = 'accepted'").count() == good.count()
     assert {r.update_class for r in stored.where("side = 'refused'").collect()} == {
