@@ -58,8 +58,8 @@ STAGES = [
     ("piece encoding", encoded),
 ]
 
-# SimHash fingerprints and piece ids cannot be had in SQL; tests hold the operators of the
-# stages against brute force, and the last stage against its input.
+# SimHash fingerprints and piece ids cannot be had in SQL; tests hold each stage and the
+# whole run against brute force, the pieces by what they decode to.
 ORACLE_SQL = None
 
 
